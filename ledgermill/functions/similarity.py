@@ -2,6 +2,7 @@
 
 The longest common subsequence is computed with the published bit-vector
 recurrence: one 64-bit word per pattern, one step per character of the text.
+Arguments are SQL expressions, normally column names.
 """
 
 from __future__ import annotations
@@ -12,65 +13,42 @@ from pyspark.sql import functions as F
 WORD_BITS = 61  # keeps the recurrence's sum inside a signed 64-bit integer
 
 
-def char_masks(pattern: Column) -> Column:
+def char_masks(pattern: str) -> Column:
     """map<char, bigint>: bit i set where the pattern has the char at i. NULL for
     patterns longer than one machine word."""
-    chars = F.split(pattern, "")
+    chars = f"split({pattern}, '')"
+    bits = f"transform({chars}, (d, i) -> if(c = d, shiftleft(1L, i), 0L))"
+    mask = f"aggregate({bits}, 0L, (acc, bit) -> acc | bit)"
+    entries = f"transform(array_distinct({chars}), c -> struct(c, {mask}))"
+    return F.expr(f"if(length({pattern}) <= {WORD_BITS}, map_from_entries({entries}), NULL)")
 
-    def mask(char: Column) -> Column:
-        bits = F.transform(
-            chars,
-            lambda c, i: F.when(
-                c == char, F.call_function("shiftleft", F.lit(1).cast("bigint"), i)
-            ).otherwise(F.lit(0).cast("bigint")),
-        )
-        return F.aggregate(bits, F.lit(0).cast("bigint"), lambda acc, bit: acc.bitwiseOR(bit))
 
-    entries = F.transform(F.array_distinct(chars), lambda c: F.struct(c.alias("c"), mask(c).alias("m")))
-    return F.when(F.length(pattern) <= WORD_BITS, F.map_from_entries(entries))
+def _lcs_bits(text: str, pattern: str, masks: str) -> str:
+    full = f"(shiftleft(1L, length({pattern})) - 1L)"
+    steps = f"transform(split({text}, ''), c -> coalesce(try_element_at({masks}, c), 0L))"
+    state = f"aggregate({steps}, {full}, (s, m) -> ((s + (s & m)) | (s - (s & m))) & {full})"
+    return f"length({pattern}) - bit_count({state})"
 
 
-def _lcs_bits(text: Column, masks: Column, size: Column) -> Column:
-    full = F.call_function("shiftleft", F.lit(1).cast("bigint"), size) - F.lit(1).cast("bigint")
-    steps = F.transform(
-        F.split(text, ""), lambda c: F.coalesce(F.try_element_at(masks, c), F.lit(0).cast("bigint"))
+def _lcs_rows(text: str, pattern: str) -> str:
+    """Row-by-row recurrence for patterns beyond one machine word."""
+    cell = (
+        f"if(element_at(split({pattern}, ''), j) = c, element_at(row, j) + 1, "
+        "greatest(element_at(row, j + 1), element_at(new, -1)))"
     )
-    state = F.aggregate(
-        steps,
-        full,
-        lambda s, m: (s + s.bitwiseAND(m)).bitwiseOR(s - s.bitwiseAND(m)).bitwiseAND(full),
+    next_row = (
+        f"aggregate(sequence(1, length({pattern})), array(0), (new, j) -> array_append(new, {cell}))"
     )
-    return size - F.bit_count(state)
+    first = f"array_repeat(0, length({pattern}) + 1)"
+    return f"element_at(aggregate(split({text}, ''), {first}, (row, c) -> {next_row}), -1)"
 
 
-def _lcs_rows(text: Column, pattern: Column) -> Column:
-    """Row-by-row recurrence for patterns beyond one machine word."""
-    chars = F.split(pattern, "")
-
-    def next_row(row: Column, char: Column) -> Column:
-        return F.aggregate(
-            F.sequence(F.lit(1), F.size(chars)),
-            F.array(F.lit(0)),
-            lambda new, j: F.array_append(
-                new,
-                F.when(F.element_at(chars, j) == char, F.element_at(row, j) + 1).otherwise(
-                    F.greatest(F.element_at(row, j + 1), F.element_at(new, -1))
-                ),
-            ),
-        )
-
-    first = F.array_repeat(F.lit(0), F.size(chars) + 1)
-    return F.element_at(F.aggregate(F.split(text, ""), first, next_row), -1)
-
-
-def lcs_length(text: Column, pattern: Column, masks: Column | None = None) -> Column:
-    """Length of the longest common subsequence; `masks` is `char_masks(pattern)`."""
-    masks = char_masks(pattern) if masks is None else masks
-    size = F.length(pattern)
-    return (
-        F.when((F.length(text) == 0) | (size == 0), F.lit(0))
-        .when(size <= WORD_BITS, _lcs_bits(text, masks, size))
-        .otherwise(_lcs_rows(text, pattern))
+def lcs_length(text: str, pattern: str, masks: str) -> Column:
+    """Length of the longest common subsequence; `masks` holds `char_masks(pattern)`."""
+    return F.expr(
+        f"CASE WHEN length({text}) = 0 OR length({pattern}) = 0 THEN 0 "
+        f"WHEN length({pattern}) <= {WORD_BITS} THEN {_lcs_bits(text, pattern, masks)} "
+        f"ELSE {_lcs_rows(text, pattern)} END"
     )
 
 
@@ -79,6 +57,6 @@ def percent(distance: Column, total: Column) -> Column:
     return F.when(total == 0, F.lit(100.0)).otherwise(F.lit(100.0) - F.lit(100.0) * distance / total)
 
 
-def indel_ratio(text: Column, pattern: Column, masks: Column | None = None) -> Column:
-    total = F.length(text) + F.length(pattern)
+def indel_ratio(text: str, pattern: str, masks: str) -> Column:
+    total = F.length(F.col(text)) + F.length(F.col(pattern))
     return percent(total - 2 * lcs_length(text, pattern, masks), total)

@@ -113,6 +113,11 @@ def _spread(char: Column, long: dict[str, str]) -> Column:
 
 def strip_diacritics(value: Column) -> Column:
     """Compatibility-decomposed text without its combining marks, and ł as l."""
+    # The one-element array makes Spark evaluate `value` once, not per reference.
+    return F.transform(F.array(value), _without_marks)[0]
+
+
+def _without_marks(value: Column) -> Column:
     short, long = _foldings()
     kept = [c for c, base in short.items() if base]
     dropped = [c for c, base in short.items() if not base]

@@ -14,22 +14,47 @@ must survive unchanged when at most `d` characters are inserted or deleted
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions.similarity import char_masks, indel_ratio, lcs_length, percent
 from ledgermill.functions.text import blank_tokens, word_tokens
-from ledgermill.scale import BROADCAST_ROWS, fits_broadcast, stage
+from ledgermill.scale import BROADCAST_ROWS, bounded_arrow, fits_broadcast, stage
 
 CUTOFF = 80
 VOCABULARY_ROWS = 20_000
 
 
-def _hint(vocabulary: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """Broadcast for a vocabulary of checked size, else Spark's own choice of join."""
-    return F.broadcast if fits_broadcast(vocabulary, VOCABULARY_ROWS) else lambda df: df
+@dataclass(frozen=True)
+class Keywords:
+    """A vocabulary (keyword, pos), its longest keyword and how to join it.
+
+    Up to `VOCABULARY_ROWS` rows it is held as a literal table and broadcast;
+    beyond that every join with it is left to Spark's own choice.
+    """
+
+    frame: DataFrame
+    small: bool
+    longest: int
+
+    @classmethod
+    def of(cls, vocabulary: DataFrame | Keywords) -> Keywords:
+        if isinstance(vocabulary, Keywords):
+            return vocabulary
+        listed = vocabulary.select("keyword", F.col("pos").cast("bigint").alias("pos"))
+        table = bounded_arrow(listed, VOCABULARY_ROWS)
+        if table is not None:
+            longest = max(map(len, table["keyword"].to_pylist()), default=0)
+            return cls(listed.sparkSession.createDataFrame(table, listed.schema), True, longest)
+        listed = stage(listed, "vocabulary")
+        longest = listed.agg(F.max(F.length("keyword")).alias("m")).first().m
+        return cls(listed, False, longest)
+
+    def join_side(self, df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if self.small else df
 
 
 def text_key(text: Column) -> Column:
@@ -37,185 +62,159 @@ def text_key(text: Column) -> Column:
     return F.sha2(text, 256).substr(1, 32)
 
 
-def distinct_texts(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """(text_id, text): every distinct non-empty text of the columns, written once."""
+def distinct_texts(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(text_id, text): every distinct non-empty text of the columns."""
     texts = rows.select(F.explode(F.array(*columns)).alias("text")).filter(F.col("text") != "")
-    return stage(texts.distinct().select(text_key(F.col("text")).alias("text_id"), "text"), "texts")
+    return texts.distinct().select(text_key(F.col("text")).alias("text_id"), "text")
+
+
+def tokenise(texts: DataFrame) -> DataFrame:
+    """(text_id, tokens, count, chars, words), written once: the distinct
+    blank-separated tokens with their number and total length, and all words in order.
+
+    Reading tokens back keeps Spark from splitting each text again for every
+    expression that mentions them.
+    """
+    tokens = texts.select("text_id", blank_tokens(F.col("text")).alias("tokens"), word_tokens(F.col("text")).alias("words"))
+    return stage(tokens.select("text_id", "tokens", *_sizes("tokens", "count", "chars"), "words"), "tokens")
+
+
+def _sizes(tokens: str, count: str, chars: str) -> list[Column]:
+    total = F.expr(f"aggregate({tokens}, 0, (acc, t) -> acc + length(t))")
+    return [F.size(tokens).alias(count), total.alias(chars)]
 
 
-def _pieces(patterns: DataFrame, cutoff: int) -> DataFrame:
-    """Per pattern and admissible text length, the pieces one of which must occur.
+def _pieces(keywords: DataFrame, cutoff: int) -> DataFrame:
+    """Per keyword and admissible text length, the pieces one of which must occur.
 
     `slack` is the largest indel distance reaching the cutoff at these lengths;
     of it at most `fewer` characters are missing and `more` are added, which
     also bounds how far a surviving piece can have moved.
     """
-    m, n, total = F.col("m"), F.col("n"), F.col("m") + F.col("n")
-    budget = F.expr(f"(m + n) * {100 - cutoff} div 100").cast("int")
-    piece_start = F.floor(F.col("i") * m / (F.col("slack") + 1)).cast("int")
-    piece_end = F.floor((F.col("i") + 1) * m / (F.col("slack") + 1)).cast("int")
-    return (
-        patterns.withColumn("m", F.length("pattern"))
-        .filter("m > 0")
-        .withColumn(
-            "n",
-            F.explode(
-                F.sequence(
-                    F.ceil(m * cutoff / (200 - cutoff)).cast("int"),
-                    F.floor(m * (200 - cutoff) / cutoff).cast("int"),
-                )
-            ),
-        )
-        .withColumn("slack", budget - F.pmod(total - budget, F.lit(2)))
-        .filter("slack >= 0")
-        .withColumn("fewer", F.floor((F.col("slack") - n + m) / 2).cast("int"))
-        .withColumn("more", F.floor((F.col("slack") + n - m) / 2).cast("int"))
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("slack"))))
-        .withColumn("piece_at", piece_start)
-        .withColumn("piece_size", piece_end - piece_start)
-        .withColumn("piece", F.substring("pattern", F.col("piece_at") + 1, F.col("piece_size")))
-        .select("n", "piece_size", "piece", "piece_at", "slack", "fewer", "more", "pos", "pattern")
+    shortest = f"cast(ceil(m * {cutoff} / {200 - cutoff}) as int)"
+    longest = f"cast(floor(m * {200 - cutoff} / {cutoff}) as int)"
+    budget = f"cast((m + n) * {100 - cutoff} div 100 as int)"
+    sized = keywords.selectExpr("*", "length(keyword) as m").filter("m > 0")
+    paired = sized.selectExpr("*", f"explode(sequence({shortest}, {longest})) as n")
+    slack = paired.selectExpr("*", f"{budget} - pmod(m + n - {budget}, 2) as slack").filter("slack >= 0")
+    cuts = slack.selectExpr("*", "explode(sequence(0, slack)) as i")
+    bounds = cuts.selectExpr(
+        "*", "cast(i * m div (slack + 1) as int) as piece_at", "cast((i + 1) * m div (slack + 1) as int) as piece_end"
+    )
+    return bounds.selectExpr(
+        "n",
+        "piece_end - piece_at as piece_size",
+        "substring(keyword, piece_at + 1, piece_end - piece_at) as piece",
+        "piece_at",
+        "slack",
+        "cast((slack - n + m) div 2 as int) as fewer",
+        "cast((slack + n - m) div 2 as int) as more",
+        "pos",
+        "keyword",
+        "masks",
     )
 
 
-def ratio_join(strings: DataFrame, patterns: DataFrame, cutoff: int = CUTOFF) -> DataFrame:
-    """Pairs of `strings` (with a `string` column) and `patterns` (pattern, pos)
-    whose indel ratio is at least `cutoff`; adds `pos` and `score`.
+def ratio_join(strings: DataFrame, vocabulary: DataFrame | Keywords, cutoff: int = CUTOFF) -> DataFrame:
+    """Pairs of `strings` (with a `string` column) and keywords whose indel ratio
+    is at least `cutoff`; adds `keyword`, `pos` and `score`.
 
     A pair appears once per surviving piece; reduce with a maximum or `distinct`.
     """
     if not 75 <= cutoff <= 100:
         raise ValueError("the cutoff must lie between 75 and 100")
-    hint = _hint(patterns)
-    pieces = _pieces(patterns, cutoff)
+    known = Keywords.of(vocabulary)
+    masked = known.frame.select("keyword", "pos", char_masks("keyword").alias("masks"))
+    pieces = _pieces(masked, cutoff)
     sizes = pieces.groupBy("n").agg(F.collect_set("piece_size").alias("sizes"))
-    masks = patterns.select("pos", char_masks(F.col("pattern")).alias("masks"))
-
     probes = (
         strings.withColumn("n", F.length("string"))
         .join(F.broadcast(sizes), "n")  # at most one row per admissible length
-        .withColumn("piece_size", F.explode("sizes"))
-        .withColumn("at", F.explode(F.sequence(F.lit(0), F.col("n") - F.col("piece_size"))))
-        .withColumn("piece", F.substring("string", F.col("at") + 1, F.col("piece_size")))
-        .drop("sizes")
+        .selectExpr(*strings.columns, "n", "explode(sizes) as piece_size")
+        .selectExpr("*", "explode(sequence(0, n - piece_size)) as at")
+        .selectExpr("*", "substring(string, at + 1, piece_size) as piece")
     )
-    shift = F.col("at") - F.col("piece_at")
-    near = F.call_function("levenshtein", F.col("string"), F.col("pattern"), F.col("slack"))
     candidates = (
-        probes.join(hint(pieces), ["n", "piece_size", "piece"])
-        .filter((shift >= -F.col("fewer")) & (shift <= F.col("more")))
-        .filter(near >= 0)
-        .join(hint(masks), "pos")
-    )
-    return (
-        candidates.withColumn("score", indel_ratio(F.col("string"), F.col("pattern"), F.col("masks")))
-        .filter(F.col("score") >= cutoff)
-        .select(*strings.columns, "pos", "score")
+        probes.join(known.join_side(pieces), ["n", "piece_size", "piece"])
+        .filter("at - piece_at between -fewer and more")
+        .filter("levenshtein(string, keyword, slack) >= 0")
     )
+    return candidates.select(
+        *strings.columns, "keyword", "pos", indel_ratio("string", "keyword", "masks").alias("score")
+    ).filter(F.col("score") >= cutoff)
 
 
 def _joined(tokens: Column) -> Column:
     return F.array_join(F.array_sort(tokens), " ")
 
 
-def _chars(tokens: Column) -> Column:
-    return F.aggregate(tokens, F.lit(0), lambda acc, t: acc + F.length(t))
-
-
-def _rest(chars: Column, shared_chars: Column, count: Column, shared: Column) -> Column:
+def _rest(chars: str, count: str) -> Column:
     """Length of the space-joined tokens that are not shared."""
-    return chars - shared_chars + F.greatest(count - shared - 1, F.lit(0))
+    return F.expr(f"{chars} - shared_chars + greatest({count} - shared - 1, 0)")
 
 
-def token_set_join(texts: DataFrame, vocabulary: DataFrame, cutoff: int = CUTOFF) -> DataFrame:
-    """(text_id, pos, score): pairs whose token-set similarity is at least `cutoff`.
+def token_set_join(tokens: DataFrame, vocabulary: DataFrame | Keywords, cutoff: int = CUTOFF) -> DataFrame:
+    """(text_id, keyword, pos, score): pairs of a `tokenise`d text and a keyword whose
+    token-set similarity is at least `cutoff`.
 
     Pairs sharing a token are scored from counts and lengths alone; characters
     are compared only where the lengths leave the cutoff within reach.
     """
-    words = vocabulary.withColumn("kw_tokens", blank_tokens(F.col("keyword"))).filter(
-        F.size("kw_tokens") > 0
-    )
-    words = words.select(
-        "pos",
-        "kw_tokens",
-        F.size("kw_tokens").alias("kw_count"),
-        _chars(F.col("kw_tokens")).alias("kw_chars"),
-        _joined(F.col("kw_tokens")).alias("kw_joined"),
-    )
-    hint = _hint(vocabulary)
-    longest = F.coalesce(words.agg(F.max(F.length("kw_joined")).alias("m")).scalar(), F.lit(0))
-
-    sized = texts.withColumn("tokens", blank_tokens(F.col("text"))).select(
-        "text_id",
-        "tokens",
-        F.size("tokens").alias("count"),
-        _chars(F.col("tokens")).alias("chars"),
+    known = Keywords.of(vocabulary)
+    words = (
+        known.frame.select("keyword", "pos", blank_tokens(F.col("keyword")).alias("kw_tokens"))
+        .filter("size(kw_tokens) > 0")
+        .select("*", *_sizes("kw_tokens", "kw_count", "kw_chars"))
     )
     # Beyond this length the remaining tokens alone put the score under the cutoff.
-    reachable = F.col("chars") + F.col("count") <= longest * 3 + 4
-    sized = sized.withColumn("short_tokens", F.when(reachable, F.col("tokens")))
-
-    shared = (
-        sized.select("text_id", "count", "chars", "short_tokens", F.explode("tokens").alias("token"))
-        .join(hint(words.select("pos", F.explode("kw_tokens").alias("token"))), "token")
-        .groupBy("text_id", "pos", "count", "chars", "short_tokens")
+    reachable = F.col("chars") + F.col("count") <= known.longest * 3 + 4
+    short_tokens = F.when(reachable, F.col("tokens")).alias("short_tokens")
+    pairs = (
+        tokens.select("text_id", "count", "chars", short_tokens, F.explode("tokens").alias("token"))
+        .join(known.join_side(words.select("*", F.explode("kw_tokens").alias("token"))), "token")
+        .groupBy("text_id", "count", "chars", "short_tokens", *words.columns)
         .agg(F.count(F.lit(1)).alias("shared"), F.sum(F.length("token")).alias("shared_chars"))
-        .join(hint(words), "pos")
-    )
-    sect = F.col("shared_chars") + F.col("shared") - 1
-    rest = _rest(F.col("chars"), F.col("shared_chars"), F.col("count"), F.col("shared"))
-    kw_rest = _rest(F.col("kw_chars"), F.col("shared_chars"), F.col("kw_count"), F.col("shared"))
-    shared = shared.select(
-        "text_id", "pos", "short_tokens", "kw_tokens", sect.alias("sect"), rest.alias("a"), kw_rest.alias("b")
-    )
-
-    s, a, b = F.col("sect"), F.col("a"), F.col("b")
-    total = s + 1 + a + s + 1 + b
-    by_length = F.greatest(percent(1 + a, s + s + 1 + a), percent(1 + b, s + s + 1 + b))
-    best_possible = percent(F.abs(a - b), total)
-    left, right = F.array_except("short_tokens", "kw_tokens"), F.array_except("kw_tokens", "short_tokens")
-    overlap = lcs_length(_joined(left), _joined(right))
-    by_chars = percent(a + b - 2 * overlap, total)
-    sharing = shared.select(
-        "text_id",
-        "pos",
-        F.when((a == 0) | (b == 0), F.lit(100.0))
-        .when(
-            F.col("short_tokens").isNotNull() & (best_possible >= cutoff) & (best_possible > by_length),
-            F.greatest(by_length, by_chars),
+        .select(
+            *("text_id", "keyword", "pos", "short_tokens", "kw_tokens"),
+            (F.col("shared_chars") + F.col("shared") - 1).alias("sect"),
+            _rest("chars", "count").alias("a"),
+            _rest("kw_chars", "kw_count").alias("b"),
         )
-        .otherwise(by_length)
-        .alias("score"),
-    ).filter(F.col("score") >= cutoff)
-
-    brief = sized.filter("short_tokens is not null").select(
-        "text_id", _joined(F.col("short_tokens")).alias("string")
     )
-    apart = (
-        ratio_join(brief, words.select(F.col("kw_joined").alias("pattern"), "pos"), cutoff)
-        .join(hint(words.select("pos", "kw_tokens")), "pos")
-        .filter(~F.arrays_overlap(F.split("string", " "), F.col("kw_tokens")))
-        .select("text_id", "pos", "score")
+    # Shared tokens against shared plus remaining ones: best on the side with less remaining.
+    by_length = F.expr("if(least(a, b) = 0, 100.0D, 100.0D - 100.0D * (1 + least(a, b)) / (2 * sect + 1 + least(a, b)))")
+    total = F.expr("2 * sect + 2 + a + b")
+    at_best = F.expr("100.0D - 100.0D * abs(a - b) / (2 * sect + 2 + a + b)")
+    pairs = pairs.select("*", total.alias("total"), by_length.alias("by_length"), at_best.alias("at_best"))
+    undecided = (F.col("at_best") >= cutoff) & (F.col("at_best") > F.col("by_length"))
+    left, right = F.array_except("short_tokens", "kw_tokens"), F.array_except("kw_tokens", "short_tokens")
+    pairs = (
+        pairs.filter((F.col("by_length") >= cutoff) | undecided)
+        .select("*", F.when(undecided, _joined(left)).alias("left"), F.when(undecided, _joined(right)).alias("right"))
+        .select("*", char_masks("right").alias("masks"))
     )
-    return sharing.unionByName(apart)
+    by_chars = percent(F.col("a") + F.col("b") - 2 * lcs_length("left", "right", "masks"), F.col("total"))
+    score = F.when(F.col("left").isNull(), F.col("by_length")).otherwise(F.greatest("by_length", by_chars))
+    sharing = pairs.select("text_id", "keyword", "pos", score.alias("score")).filter(F.col("score") >= cutoff)
 
+    brief = tokens.filter(reachable).select("text_id", _joined(F.col("tokens")).alias("string"))
+    joined = words.select(_joined(F.col("kw_tokens")).alias("keyword"), "pos")
+    disjoint = ~F.arrays_overlap(F.split("string", " "), F.split("keyword", " "))
+    apart = ratio_join(brief, replace(known, frame=joined), cutoff).filter(disjoint)
+    named = apart.drop("keyword").join(known.join_side(known.frame), "pos")
+    return sharing.unionByName(named.select(*sharing.columns))
 
-def token_hits(texts: DataFrame, vocabulary: DataFrame, cutoff: int = CUTOFF) -> DataFrame:
-    """(text_id, token_at, pos, score): per word of each text, its closest keyword.
+
+def token_hits(tokens: DataFrame, vocabulary: DataFrame | Keywords, cutoff: int = CUTOFF) -> DataFrame:
+    """(text_id, token_at, keyword, pos, score): per word of each `tokenise`d text, its
+    closest keyword.
 
     Every distinct word is scored once and the few that match are joined back.
     """
-    words = texts.select("text_id", F.posexplode(word_tokens(F.col("text"))).alias("token_at", "string"))
-    patterns = vocabulary.select(F.col("keyword").alias("pattern"), "pos")
-    scored = ratio_join(words.select("string").distinct(), patterns, cutoff)
-    closest = scored.groupBy("string").agg(
-        F.max(F.struct("score", (-F.col("pos")).alias("neg_pos"))).alias("best")
-    )
-    closest = stage(
-        closest.select("string", F.col("best.score").alias("score"), (-F.col("best.neg_pos")).alias("pos")),
-        "matching-words",
-    )
+    words = tokens.select("text_id", F.posexplode("words").alias("token_at", "string"))
+    scored = ratio_join(words.select("string").distinct(), vocabulary, cutoff)
+    closest = scored.groupBy("string").agg(F.max_by(F.struct("keyword", "pos", "score"), _rank(())).alias("best"))
+    closest = stage(closest.select("string", "best.*"), "matching-words")
     if fits_broadcast(closest, BROADCAST_ROWS):
         return words.join(F.broadcast(closest), "string").drop("string")
     # One copy of a word per text is enough, and its first place decides ties.
@@ -223,36 +222,30 @@ def token_hits(texts: DataFrame, vocabulary: DataFrame, cutoff: int = CUTOFF) ->
     return firsts.join(closest, "string").drop("string")
 
 
-def best_keywords(texts: DataFrame, vocabulary: DataFrame, cutoff: int = CUTOFF) -> DataFrame:
-    """(text_id, keyword, score): the best keyword of each text, texts without one left out.
+def _rank(between: Sequence[Column]) -> Column:
+    """Orders by score, then `between`, then the keyword listed first."""
+    return F.struct(F.col("score"), *between, (-F.col("pos")).alias("listed_first"))
+
+
+def _best(scored: DataFrame, rank: Column) -> DataFrame:
+    best = scored.groupBy("text_id").agg(F.max_by(F.struct("keyword", "score"), rank).alias("best"))
+    return best.select("text_id", "best.*")
+
+
+def best_keywords(tokens: DataFrame, vocabulary: DataFrame | Keywords, cutoff: int = CUTOFF) -> DataFrame:
+    """(text_id, keyword, score): the best keyword of each `tokenise`d text, texts
+    without one left out.
 
     The whole text is preferred to its words, an earlier word to a later one and
     an earlier keyword to a later one; each only among equal scores.
     """
-    whole = token_set_join(texts, vocabulary, cutoff).select(
-        "text_id", "score", F.lit(1).alias("full_text"), F.lit(0).alias("token_at"), "pos"
-    )
-    words = token_hits(texts, vocabulary, cutoff).select(
-        "text_id", "score", F.lit(0).alias("full_text"), "token_at", "pos"
-    )
-    rank = F.struct(
-        "score", "full_text", (-F.col("token_at")).alias("token_rank"), (-F.col("pos")).alias("pos_rank")
-    )
-    best = whole.unionByName(words).groupBy("text_id").agg(F.max(rank).alias("best"))
-    return _with_keyword(best.select("text_id", "best.score", (-F.col("best.pos_rank")).alias("pos")), vocabulary)
+    known = Keywords.of(vocabulary)
+    whole = token_set_join(tokens, known, cutoff).withColumn("token_at", F.lit(-1))
+    words = token_hits(tokens, known, cutoff)
+    return _best(whole.unionByName(words), _rank([(-F.col("token_at")).alias("earliest")]))
 
 
-def best_names(texts: DataFrame, candidates: DataFrame, cutoff: int = CUTOFF) -> DataFrame:
-    """(text_id, keyword, score) by whole-text similarity; among equal scores the
+def best_names(tokens: DataFrame, candidates: DataFrame | Keywords, cutoff: int = CUTOFF) -> DataFrame:
+    """(text_id, keyword, score) of `tokenise`d texts by whole-text similarity; among equal scores the
     longer keyword, then the earlier one."""
-    sized = token_set_join(texts, candidates, cutoff)
-    lengths = candidates.select("pos", F.length("keyword").alias("size"))
-    hint = _hint(candidates)
-    rank = F.struct("score", "size", (-F.col("pos")).alias("pos_rank"))
-    best = sized.join(hint(lengths), "pos").groupBy("text_id").agg(F.max(rank).alias("best"))
-    return _with_keyword(best.select("text_id", "best.score", (-F.col("best.pos_rank")).alias("pos")), candidates)
-
-
-def _with_keyword(best: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    hint = _hint(vocabulary)
-    return best.join(hint(vocabulary.select("pos", "keyword")), "pos").select("text_id", "keyword", "score")
+    return _best(token_set_join(tokens, candidates, cutoff), _rank([F.length("keyword")]))

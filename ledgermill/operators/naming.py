@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions.text import clean_name, strip_diacritics
-from ledgermill.operators.matching import CUTOFF, best_keywords, best_names, distinct_texts, text_key
+from ledgermill.operators.matching import CUTOFF, best_keywords, best_names, distinct_texts, text_key, tokenise
 from ledgermill.operators.vocabulary import UNCLASSIFIED, UNCLASSIFIED_KEY
 from ledgermill.scale import attach, stage
 
@@ -27,8 +27,8 @@ def add_canonical(
     cutoff: int = CUTOFF,
 ) -> DataFrame:
     """Adds the canonical name of `column`, empty for NULL and empty texts."""
-    texts = distinct_texts(rows, [column])
-    hits = best_names(texts, candidates, cutoff).select(
+    tokens = tokenise(distinct_texts(rows, [column]))
+    hits = best_names(tokens, candidates, cutoff).select(
         F.col("text_id").alias("_text_id"), F.col("keyword").alias("_keyword")
     )
     keyed = rows.withColumn("_text_id", text_key(F.col(column)))
@@ -40,7 +40,7 @@ def add_canonical(
 
 def text_categories(texts: DataFrame, labels: DataFrame, cutoff: int = CUTOFF) -> DataFrame:
     """(text_id, score, category, subcategory) of the texts that match a keyword."""
-    best = best_keywords(texts, labels, cutoff)
+    best = best_keywords(tokenise(texts), labels, cutoff)
     return attach(best, labels.select("keyword", "category", "subcategory"), ["keyword"], "inner").select(
         "text_id", "score", "category", "subcategory"
     )

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +49,13 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
 
 
+def bounded_arrow(df: DataFrame, rows: int) -> pa.Table | None:
+    """`df` on the driver if it has at most `rows` rows, else None. Rebuilding the
+    DataFrame from it gives Spark its exact size and no history to recompute."""
+    table = df.limit(rows + 1).toArrow()
+    return table if table.num_rows <= rows else None
+
+
 def attach(
     rows: DataFrame,
     table: DataFrame,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.utils import AnalysisException
 
 from ledgermill.scale import fits_broadcast
 
@@ -41,8 +40,8 @@ def write_table(
         writer = writer.option("header", True)
     try:
         writer.mode(mode).format(fmt).save(path)
-    except AnalysisException as error:
-        if fmt == "delta" and error.getCondition() == "DATA_SOURCE_NOT_FOUND":
+    except Exception as error:
+        if fmt == "delta" and "DATA_SOURCE_NOT_FOUND" in str(error):
             raise SinkError("delta tables need the Delta Lake package on Spark's classpath") from error
         raise
 

@@ -70,18 +70,19 @@ def test_lcs_matches_the_plain_recurrence(spark):
     ]
     pairs += [("".join(rng.choices("abcd", k=70)), "".join(rng.choices("abcd", k=k))) for k in (60, 61, 62, 80)]
     df = spark.createDataFrame(pairs, "a string, b string")
-    got = df.select("a", "b", similarity.lcs_length(F.col("a"), F.col("b")).alias("n")).collect()
+    masked = df.select("*", similarity.char_masks("b").alias("m"))
+    got = masked.select("a", "b", similarity.lcs_length("a", "b", "m").alias("n")).collect()
     assert all(r.n == plain.lcs(r.a, r.b) for r in got)
     example = spark.createDataFrame([("xyz123nothing", "notino")], "a string, b string")
-    value = example.select(similarity.indel_ratio(F.col("a"), F.col("b"))).first()[0]
+    example = example.select("*", similarity.char_masks("b").alias("m"))
+    value = example.select(similarity.indel_ratio("a", "b", "m")).first()[0]
     assert round(value, 2) == 52.63
 
 
 @pytest.mark.parametrize("cutoff", [75, 80, 90, 100])
 def test_ratio_join_finds_every_pair(spark, cutoff):
     sample, table, vocabulary = frames(spark)
-    patterns = vocabulary.withColumnRenamed("keyword", "pattern")
-    found = matching.ratio_join(table.select(F.col("text").alias("string")), patterns, cutoff).distinct()
+    found = matching.ratio_join(table.select(F.col("text").alias("string")), vocabulary, cutoff).distinct()
     got = {(r.string, r.pos): r.score for r in found.collect()}
     want = {}
     for t in sample:
@@ -94,7 +95,7 @@ def test_ratio_join_finds_every_pair(spark, cutoff):
 
 def test_token_set_join_finds_every_pair(spark):
     sample, table, vocabulary = frames(spark)
-    found = matching.token_set_join(table, vocabulary).join(table, "text_id").distinct()
+    found = matching.token_set_join(matching.tokenise(table), vocabulary).join(table, "text_id").distinct()
     rows = found.select("text", "pos", "score").distinct().collect()
     got = {}
     for r in rows:
@@ -110,9 +111,9 @@ def test_token_set_join_finds_every_pair(spark):
 
 def test_best_keyword_and_best_name_agree_with_brute_force(spark):
     sample, table, vocabulary = frames(spark)
-    hits = {r.text: (r.keyword, r.score) for r in matching.best_keywords(table, vocabulary).join(table, "text_id").collect()}
+    hits = {r.text: (r.keyword, r.score) for r in matching.best_keywords(matching.tokenise(table), vocabulary).join(table, "text_id").collect()}
     assert hits == {t: b for t in sample if (b := plain.best_keyword(t, KEYWORDS))}
-    names = {r.text: (r.keyword, r.score) for r in matching.best_names(table, vocabulary).join(table, "text_id").collect()}
+    names = {r.text: (r.keyword, r.score) for r in matching.best_names(matching.tokenise(table), vocabulary).join(table, "text_id").collect()}
     assert names == {t: b for t in sample if (b := plain.best_name(t, KEYWORDS))}
     assert hits["ikea krakow pol"] == ("ikea", 100.0)
     assert not {"xyz123nothing", "9999999999999999", "zzz qqq vvv"} & set(hits)
@@ -122,7 +123,7 @@ def test_joins_agree_without_broadcast(spark, monkeypatch):
     sample, table, vocabulary = frames(spark)
     monkeypatch.setattr(matching, "VOCABULARY_ROWS", 0)
     monkeypatch.setattr(matching, "BROADCAST_ROWS", 0)
-    hits = {r.text: r.keyword for r in matching.best_keywords(table, vocabulary).join(table, "text_id").collect()}
+    hits = {r.text: r.keyword for r in matching.best_keywords(matching.tokenise(table), vocabulary).join(table, "text_id").collect()}
     assert hits == {t: b[0] for t in sample if (b := plain.best_keyword(t, KEYWORDS))}
 
 
