@@ -346,7 +346,8 @@ def parse_records(records: DataFrame, files: DataFrame, hashes: DataFrame | None
         accepted = accepted.join(hashes, "path", "left")
     widest = accepted.agg(F.max(F.size("names"))).first()[0] or 1  # one number
     schema = ", ".join(f"c{i} string" for i in range(widest))
-    options = {"sep": DELIMITER, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    # A null marker no export contains keeps a quoted empty cell apart from a missing one.
+    options = {"sep": DELIMITER, "quote": '"', "escape": '"', "nullValue": "\x00", "mode": "PERMISSIVE"}
     cells = F.from_csv("line", schema, options)
     placed = attach(records, accepted.drop("names"), ["path"], "inner", spread=["block", "seq"])
     placed = placed.withColumn("cells", cells).withColumn(
