@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.scale import stage
-from ledgermill.sources.exports import BUSINESS_COLUMNS, COLUMN_OF_HEADER
+from ledgermill.scale import widen
+from ledgermill.sources.exports import BUSINESS_COLUMNS, COLUMN_OF_HEADER, stage_lines
 
 NBSP = " "
 
@@ -188,7 +188,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def spark_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with their customer and nation; both lookups are left to the optimizer."""
-    orders, customers = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
+    orders, customers = widen(read(spark, sf_dir, "orders"), "o_orderkey"), read(spark, sf_dir, "customer")
     nations = read(spark, sf_dir, "nation")
     joined = orders.join(customers, orders.o_custkey == customers.c_custkey)
     return joined.join(nations, joined.c_nationkey == nations.n_nationkey)
@@ -225,4 +225,4 @@ def spark_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = framed.unionByName(data).selectExpr(
         "source_file AS path", "source_file", "block", "seq", "encode(line, 'UTF-8') AS raw"
     )
-    return stage(lines, "lines")
+    return stage_lines(lines)

@@ -22,7 +22,7 @@ from ledgermill.operators.vocabulary import (
 from ledgermill.plans.gold import build_gold
 from ledgermill.plans.publish import report_of
 from ledgermill.plans.silver import silver_rows, strict_casts, type_rows
-from ledgermill.scale import attach, shared_dir, stage
+from ledgermill.scale import attach, shared_dir, stage, widen
 from ledgermill.sinks.tables import append_report, write_table
 from ledgermill.sources import exports
 
@@ -208,13 +208,14 @@ def single_lines(spark, sf_dir):
 
 @query
 def clean_documents(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", text.clean_name("text").alias("cleaned"))
+    documents = widen(read(spark, sf_dir, "documents"), "doc_id")
+    return documents.select("doc_id", text.clean_name("text").alias("cleaned"))
 
 
 @query
 def plain_documents(spark, sf_dir):
     stripped = text.strip_diacritics(F.lower("text"))
-    return read(spark, sf_dir, "documents").select("doc_id", stripped.alias("stripped"))
+    return widen(read(spark, sf_dir, "documents"), "doc_id").select("doc_id", stripped.alias("stripped"))
 
 
 @query

@@ -232,20 +232,35 @@ def _best(scored: DataFrame, rank: Column) -> DataFrame:
     return best.select("text_id", "best.*")
 
 
-def best_keywords(tokens: DataFrame, vocabulary: DataFrame | Keywords, cutoff: int = CUTOFF) -> DataFrame:
+def best_keywords(
+    tokens: DataFrame,
+    vocabulary: DataFrame | Keywords,
+    cutoff: int = CUTOFF,
+    whole: DataFrame | None = None,
+) -> DataFrame:
     """(text_id, keyword, score): the best keyword of each `tokenise`d text, texts
     without one left out.
 
     The whole text is preferred to its words, an earlier word to a later one and
-    an earlier keyword to a later one; each only among equal scores.
+    an earlier keyword to a later one; each only among equal scores. `whole` may
+    bring the `token_set_join` of the same keywords if it is already at hand.
     """
     known = Keywords.of(vocabulary)
-    whole = token_set_join(tokens, known, cutoff).withColumn("token_at", F.lit(-1))
+    if whole is None:
+        whole = token_set_join(tokens, known, cutoff)
     words = token_hits(tokens, known, cutoff)
-    return _best(whole.unionByName(words), _rank([(-F.col("token_at")).alias("earliest")]))
-
-
-def best_names(tokens: DataFrame, candidates: DataFrame | Keywords, cutoff: int = CUTOFF) -> DataFrame:
-    """(text_id, keyword, score) of `tokenise`d texts by whole-text similarity; among equal scores the
-    longer keyword, then the earlier one."""
-    return _best(token_set_join(tokens, candidates, cutoff), _rank([F.length("keyword")]))
+    both = whole.withColumn("token_at", F.lit(-1)).unionByName(words)
+    return _best(both, _rank([(-F.col("token_at")).alias("earliest")]))
+
+
+def best_names(
+    tokens: DataFrame,
+    candidates: DataFrame | Keywords,
+    cutoff: int = CUTOFF,
+    whole: DataFrame | None = None,
+) -> DataFrame:
+    """(text_id, keyword, score) of `tokenise`d texts by whole-text similarity; among
+    equal scores the longer keyword, then the earlier one."""
+    if whole is None:
+        whole = token_set_join(tokens, candidates, cutoff)
+    return _best(whole, _rank([F.length("keyword")]))

@@ -8,9 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions.text import clean_name, strip_diacritics
-from ledgermill.operators.matching import CUTOFF, best_keywords, best_names, distinct_texts, text_key, tokenise
+from ledgermill.operators.matching import (
+    CUTOFF,
+    best_keywords,
+    best_names,
+    distinct_texts,
+    text_key,
+    token_set_join,
+    tokenise,
+)
 from ledgermill.operators.vocabulary import UNCLASSIFIED, UNCLASSIFIED_KEY
-from ledgermill.scale import attach, stage
+from ledgermill.scale import attach, small_copy, stage
 
 
 def canonical_name(raw: Column, keyword: Column) -> Column:
@@ -28,24 +36,41 @@ def add_canonical(
 ) -> DataFrame:
     """Adds the canonical name of `column`, empty for NULL and empty texts."""
     tokens = tokenise(distinct_texts(rows, [column]))
-    hits = best_names(tokens, candidates, cutoff).select(
-        F.col("text_id").alias("_text_id"), F.col("keyword").alias("_keyword")
-    )
-    keyed = rows.withColumn("_text_id", text_key(F.col(column)))
-    named = attach(keyed, stage(hits, "names"), ["_text_id"], spread=spread)
-    return named.withColumn(output, canonical_name(F.col(column), F.col("_keyword"))).drop(
-        "_text_id", "_keyword"
+    hits = stage(best_names(tokens, candidates, cutoff), "names")
+    named = attach_hits(rows, column, hits.select("text_id", "keyword"), "_name", spread)
+    return named.withColumn(output, canonical_name(F.col(column), F.col("_name.keyword"))).drop("_name")
+
+
+def attach_hits(
+    rows: DataFrame, column: str, hits: DataFrame, output: str, spread: Sequence[str] = ()
+) -> DataFrame:
+    """Adds the struct `output` of what `hits` has for the text in `column`."""
+    found = hits.select(F.col("text_id").alias("_text_id"), F.struct(*hits.drop("text_id").columns).alias(output))
+    return attach(rows.withColumn("_text_id", text_key(F.col(column))), found, ["_text_id"], spread=spread).drop(
+        "_text_id"
     )
 
 
-def text_categories(texts: DataFrame, labels: DataFrame, cutoff: int = CUTOFF) -> DataFrame:
-    """(text_id, score, category, subcategory) of the texts that match a keyword."""
-    best = best_keywords(tokenise(texts), labels, cutoff)
-    return attach(best, labels.select("keyword", "category", "subcategory"), ["keyword"], "inner").select(
-        "text_id", "score", "category", "subcategory"
+def better_of(first: str, second: str) -> Column:
+    """The struct with the higher `score`; the first on ties."""
+    second_wins = F.col(f"{second}.score") > F.coalesce(F.col(f"{first}.score"), F.lit(-1.0))
+    return F.when(second_wins, F.col(second)).otherwise(F.col(first))
+
+
+def _categories(rows: DataFrame, chosen: Column) -> DataFrame:
+    return rows.withColumns(
+        {
+            "category": F.coalesce(chosen["category"], F.lit(UNCLASSIFIED)),
+            "subcategory": F.coalesce(chosen["subcategory"], F.lit(UNCLASSIFIED)),
+        }
     )
 
 
+def _labelled(best: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text_id, score, category, subcategory) of the best keyword per text."""
+    return attach(best, labels.select("keyword", "category", "subcategory"), ["keyword"], "inner").drop("keyword")
+
+
 def add_category(
     rows: DataFrame,
     first: str,
@@ -56,21 +81,38 @@ def add_category(
 ) -> DataFrame:
     """Adds category and subcategory from whichever of two text columns scores
     higher, the first one on ties; rows without a match are Unclassified."""
-    hits = stage(text_categories(distinct_texts(rows, [first, second]), labels, cutoff), "categories")
-    out = rows
-    for side, column in (("first", first), ("second", second)):
-        hit = F.struct("score", "category", "subcategory").alias(f"_{side}")
-        side_hits = hits.select(F.col("text_id").alias(f"_{side}_id"), hit)
-        out = out.withColumn(f"_{side}_id", text_key(F.col(column)))
-        out = attach(out, side_hits, [f"_{side}_id"], spread=spread)
-    second_wins = F.col("_second.score") > F.coalesce(F.col("_first.score"), F.lit(-1.0))
-    chosen = F.when(second_wins, F.col("_second")).otherwise(F.col("_first"))
-    return out.withColumns(
-        {
-            "category": F.coalesce(chosen["category"], F.lit(UNCLASSIFIED)),
-            "subcategory": F.coalesce(chosen["subcategory"], F.lit(UNCLASSIFIED)),
-        }
-    ).drop("_first_id", "_second_id", "_first", "_second")
+    tokens = tokenise(distinct_texts(rows, [first, second]))
+    hits = stage(_labelled(best_keywords(tokens, labels, cutoff), labels), "categories")
+    out = attach_hits(rows, first, hits, "_first", spread)
+    out = attach_hits(out, second, hits, "_second", spread)
+    return _categories(out, better_of("_first", "_second")).drop("_first", "_second")
+
+
+def add_canonical_and_category(
+    rows: DataFrame,
+    party: str,
+    description: str,
+    candidates: DataFrame,
+    labels: DataFrame,
+    output: str,
+    spread: Sequence[str] = (),
+    cutoff: int = CUTOFF,
+) -> DataFrame:
+    """`add_canonical` of `party` and `add_category` of both columns in one pass:
+    texts are split once and compared once, as the name candidates include every keyword."""
+    tokens = tokenise(distinct_texts(rows, [party, description]))
+    labels = small_copy(labels)
+    whole = stage(token_set_join(tokens, candidates, cutoff), "whole-text-scores")
+    names = best_names(tokens, candidates, cutoff, whole)
+    of_keywords = attach(whole.drop("pos"), labels.select("keyword", "pos"), ["keyword"], "inner")
+    best = _labelled(best_keywords(tokens, labels, cutoff, of_keywords), labels)
+    named = names.select("text_id", F.col("keyword").alias("name"))
+    hits = stage(best.join(named, "text_id", "full"), "text-hits")
+    out = attach_hits(rows, party, hits, "_party", spread)
+    out = attach_hits(out, description, hits, "_description", spread)
+    out = _categories(out, better_of("_party", "_description"))
+    canonical = canonical_name(F.col(party), F.col("_party.name"))
+    return out.withColumn(output, canonical).drop("_party", "_description")
 
 
 def category_map(rows: DataFrame, dim_category: DataFrame, key: str = "transaction_sk") -> DataFrame:

@@ -16,7 +16,7 @@ from ledgermill.operators.dimensions import (
     require_unique_keys,
 )
 from ledgermill.operators.facts import expense_fact, income_fact, resolve_key
-from ledgermill.operators.naming import add_canonical, add_category
+from ledgermill.operators.naming import add_canonical_and_category
 from ledgermill.operators.vocabulary import (
     keyword_labels,
     name_candidates,
@@ -24,7 +24,7 @@ from ledgermill.operators.vocabulary import (
     taxonomy_frame,
     training_frame,
 )
-from ledgermill.scale import stage
+from ledgermill.scale import small_copy, stage
 
 # Names always known to the canonical-name matcher.
 NAME_ALIASES = [
@@ -50,12 +50,20 @@ def enrich(
     """
     spark = silver.sparkSession
     spread = [c for c in spread if c in silver.columns] or ["transaction_sk"]
-    labels = keyword_labels(taxonomy, training)
-    candidates = name_candidates(spark, aliases, labels)
-    rows = add_canonical(silver, "counterparty_details", candidates, "counterparty_canonical", spread)
-    rows = add_category(rows, "counterparty_details", "description", labels, spread)
-    rows = resolve_key(rows, category_dimension(taxonomy), ["category", "subcategory"], "category_sk")
-    rows = resolve_key(rows, method_dimension(spark), ["payment_method"], "payment_method_sk")
+    labels = small_copy(keyword_labels(taxonomy, training))
+    rows = add_canonical_and_category(
+        silver,
+        "counterparty_details",
+        "description",
+        name_candidates(spark, aliases, labels),
+        labels,
+        "counterparty_canonical",
+        spread,
+    )
+    rows = resolve_key(rows, small_copy(category_dimension(taxonomy)), ["category", "subcategory"], "category_sk")
+    rows = rows.join(
+        F.broadcast(method_dimension(spark).select("payment_method", "payment_method_sk")), "payment_method", "left"
+    )  # seven rows
     return rows.withColumns(
         {
             "date_sk": date_key(F.col("transaction_date")),

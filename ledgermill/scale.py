@@ -15,6 +15,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Session settings the package is tuned with. Expressions over many text columns
+# generate methods beyond what the JVM compiles; the limit makes Spark split them.
+SESSION_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
 BROADCAST_ROWS = 200_000
 HOT_SHARE = 4096
 SALTS = 64
@@ -49,6 +57,19 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
 
 
+def widen(df: DataFrame, key: str) -> DataFrame:
+    """`df` spread over all cores by `key` where its input is too small to fill them.
+
+    One small file is one task however many cores there are, which costs most
+    before text work. Input with a split for every core is left alone.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def bounded_arrow(df: DataFrame, rows: int) -> pa.Table | None:
     """`df` on the driver if it has at most `rows` rows, else None. Rebuilding the
     DataFrame from it gives Spark its exact size and no history to recompute."""
@@ -56,6 +77,12 @@ def bounded_arrow(df: DataFrame, rows: int) -> pa.Table | None:
     return table if table.num_rows <= rows else None
 
 
+def small_copy(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """`df` rebuilt from its rows if they are few, else written to the shared folder."""
+    table = bounded_arrow(df, rows)
+    return stage(df, "copy") if table is None else df.sparkSession.createDataFrame(table, df.schema)
+
+
 def attach(
     rows: DataFrame,
     table: DataFrame,

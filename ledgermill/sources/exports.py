@@ -76,7 +76,7 @@ class Export:
 
 
 def scan_lines(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """(path, source_file, block, seq, raw) of every line of the matching files."""
+    """Every line of the matching files, as `stage_lines` writes them."""
     scanned = spark.read.option("pathGlobFilter", pattern).text(folder)
     lines = scanned.select(
         F.col("_metadata.file_path").alias("path"),
@@ -85,12 +85,32 @@ def scan_lines(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Data
         F.monotonically_increasing_id().alias("seq"),
         F.col("value").cast("binary").alias("raw"),
     )
-    staged = stage(lines, "lines")
+    staged = stage_lines(lines)
     if staged.isEmpty():
         raise IngestError(f"no lines in {pattern} under {folder}")
     return staged
 
 
+def stage_lines(lines: DataFrame) -> DataFrame:
+    """The lines written once, with what later steps need to know of each: whether
+    it is UTF-8, holds a marker or an odd number of quotes, and its number of cells
+    (0 for an empty line). All of it is ASCII, so the charset does not matter yet,
+    and later steps read these few columns instead of the lines."""
+    text = _latin(F.col("raw"))
+    plain = F.translate(F.lower(text), '":', "")
+    return stage(
+        lines.select(
+            *("path", "source_file", "block", "seq", "raw"),
+            F.is_valid_utf8("raw").alias("utf8"),
+            F.contains(plain, F.lit(HEADER_MARKER)).alias("is_header"),
+            F.contains(plain, F.lit(COUNT_MARKER)).alias("is_count"),
+            (_quotes(text) % 2 == 1).alias("odd"),
+            F.when(F.length("raw") == 0, F.lit(0)).otherwise(_width(text)).alias("width"),
+        ),
+        "lines",
+    )
+
+
 def file_hashes(
     spark: SparkSession,
     folder: str,
@@ -177,32 +197,24 @@ def header_names(header: Column) -> Column:
 
 
 def profile_files(lines: DataFrame, fallback: str = FALLBACK_CHARSET) -> DataFrame:
-    """One row per file: charset, header position and names, declared row count.
-
-    The markers are ASCII, so they are searched before the charset is known, and
-    a single aggregation with map-side combining covers all files.
-    """
-    cells = F.transform(F.split(_latin(F.col("raw")), DELIMITER), lambda c: F.lower(_label(c)))
-    raw_cells = F.split(_latin(F.col("raw")), DELIMITER)
-    marker_at = F.array_position(F.transform(cells, lambda c: F.contains(c, F.lit(COUNT_MARKER))), True)
-    declared = F.when(marker_at > 0, F.try_element_at(raw_cells, marker_at.cast("int") + 1))
-    is_header = F.exists(cells, lambda c: F.contains(c, F.lit(HEADER_MARKER)))
-    marked = lines.select(
+    """One row per file: charset, header position and names, declared row count."""
+    files = lines.groupBy("path", "source_file").agg(F.bool_and("utf8").alias("utf8"))
+    cells = F.split(_latin(F.col("raw")), DELIMITER)
+    labels = F.transform(cells, lambda c: F.contains(F.lower(_label(c)), F.lit(COUNT_MARKER)))
+    declared = F.try_element_at(cells, F.array_position(labels, True).cast("int") + 1)
+    marked = lines.filter("is_header or is_count").select(
         "path",
-        "source_file",
-        F.struct("block", "seq").alias("at"),
         "raw",
-        F.is_valid_utf8("raw").alias("utf8"),
-        is_header.alias("is_header"),
-        F.when(declared != "", declared).alias("declared"),
+        F.when(F.col("is_header"), F.struct("block", "seq")).alias("header_at"),
+        F.when(F.col("is_count") & (declared != ""), F.struct("block", "seq")).alias("count_at"),
+        F.when(F.col("is_count"), declared).alias("declared"),
     )
-    header_at = F.when(F.col("is_header"), F.col("at"))
-    found = marked.groupBy("path", "source_file").agg(
-        F.bool_and("utf8").alias("utf8"),
-        F.min(header_at).alias("header_at"),
-        F.min_by("raw", header_at).alias("header_raw"),
-        F.min_by("declared", F.when(F.col("declared").isNotNull(), F.col("at"))).alias("declared_text"),
+    found = marked.groupBy("path").agg(
+        F.min("header_at").alias("header_at"),
+        F.min_by("raw", "header_at").alias("header_raw"),
+        F.min_by("declared", "count_at").alias("declared_text"),
     )
+    found = files.join(found, "path", "left")
     charset = F.when(F.col("utf8"), F.lit("utf-8")).otherwise(F.lit(fallback))
     named = found.withColumn("charset", charset).withColumn(
         "names", header_names(decode(F.col("header_raw"), F.col("charset"), fallback))
@@ -233,11 +245,15 @@ def _width(text: Column) -> Column:
     return F.regexp_count(F.regexp_replace(text, '"[^"]*"', ""), F.lit(DELIMITER)) + 1
 
 
-def data_lines(lines: DataFrame, profile: DataFrame, fallback: str = FALLBACK_CHARSET) -> DataFrame:
-    """Decoded non-empty lines after the header of every file that has one."""
+def body_lines(lines: DataFrame, profile: DataFrame) -> DataFrame:
+    """The non-empty lines after the header of every file that has one, with its charset."""
     heads = profile.filter("header_at is not null").select("path", "charset", "header_at")
-    joined = attach(lines, heads, ["path"], "inner", spread=["block", "seq"])
-    return joined.filter((F.struct("block", "seq") > F.col("header_at")) & (F.length("raw") > 0)).select(
+    joined = attach(lines.drop("source_file"), heads, ["path"], "inner", spread=["block", "seq"])
+    return joined.filter((F.struct("block", "seq") > F.col("header_at")) & (F.col("width") > 0)).drop("header_at")
+
+
+def decoded(lines: DataFrame, fallback: str = FALLBACK_CHARSET) -> DataFrame:
+    return lines.select(
         "path", "block", "seq", decode(F.col("raw"), F.col("charset"), fallback).alias("line")
     )
 
@@ -285,27 +301,23 @@ def join_broken_records(lines: DataFrame) -> DataFrame:
     )
 
 
-def data_records(lines: DataFrame) -> DataFrame:
-    """(path, block, seq, line, width, whole): the records the data lines form.
+def shaped_files(lines: DataFrame) -> DataFrame:
+    """(path, width, broken) of the body lines: the most cells in a line, and
+    whether any line has an odd number of quotes, so that a cell spans lines."""
+    return lines.groupBy("path").agg(F.max("width").alias("width"), F.bool_or("odd").alias("broken"))
+
+
+def repaired_records(lines: DataFrame, fallback: str = FALLBACK_CHARSET) -> DataFrame:
+    """(path, block, seq, line, width, whole) of the body lines of broken files.
 
     `whole` is false for a record left open at the end of its file, or longer
     than any real record, both signs of a stray quote.
     """
-    odd = lines.filter(_quotes(F.col("line")) % 2 == 1).select("path").distinct()
-    odd = stage(odd.withColumn("_broken", F.lit(True)), "broken-files")
-    plain = lines.select("path", "block", "seq", "line", F.lit(True).alias("whole"))
-    if not odd.isEmpty():
-        tagged = attach(lines, odd, ["path"], "left", spread=["block", "seq"])
-        joined = join_broken_records(tagged.filter("_broken").drop("_broken")).select(
-            "path",
-            "block",
-            "seq",
-            "line",
-            (F.col("closed") & (F.col("n_lines") <= RECORD_LINES)).alias("whole"),
-        )
-        plain = tagged.filter("_broken is null").drop("_broken").withColumn("whole", F.lit(True))
-        plain = plain.unionByName(stage(joined, "joined-records"))
-    return plain.withColumn("width", _width(F.col("line")))
+    joined = join_broken_records(decoded(lines, fallback))
+    whole = F.col("closed") & (F.col("n_lines") <= RECORD_LINES)
+    return joined.select(
+        "path", "block", "seq", "line", _width(F.col("line")).alias("width"), whole.alias("whole")
+    )
 
 
 def listed_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
@@ -316,9 +328,9 @@ def listed_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Da
     )
 
 
-def judge_files(profile: DataFrame, records: DataFrame) -> DataFrame:
-    """The profile with `accepted` and the `reason` for rejection."""
-    shapes = records.groupBy("path").agg(F.max("width").alias("width"), F.bool_and("whole").alias("whole"))
+def judge_files(profile: DataFrame, shapes: DataFrame) -> DataFrame:
+    """The profile with `accepted` and the `reason` for rejection; `shapes` has
+    (path, width, whole)."""
     judged = profile.join(shapes, "path", "left")
     reason = (
         F.when(F.col("declared_text").isNotNull() & F.col("declared").isNull(), "row count is not a number")
@@ -379,8 +391,19 @@ def parse_lines(
     if listed is not None:
         profile = listed.join(profile.drop("source_file"), "path", "left")
     profile = stage(profile, "profile")
-    records = data_records(data_lines(lines, profile, fallback))
-    files = stage(judge_files(profile, records), "files")
+    body = body_lines(lines, profile)
+    shapes = stage(shaped_files(body), "shapes")
+    broken = shapes.filter("broken").select("path", "broken")
+    records = decoded(body, fallback)
+    sound = shapes.filter("not broken").select("path", "width", F.lit(True).alias("whole"))
+    if not broken.isEmpty():
+        tagged = attach(body, broken, ["path"], "left", spread=["block", "seq"])
+        repaired = stage(repaired_records(tagged.filter("broken"), fallback), "repaired-records")
+        records = decoded(tagged.filter("broken is null"), fallback).unionByName(repaired.select(*records.columns))
+        sound = sound.unionByName(
+            repaired.groupBy("path").agg(F.max("width").alias("width"), F.bool_and("whole").alias("whole"))
+        )
+    files = stage(judge_files(profile, sound), "files")
     if files.filter("accepted").isEmpty():
         reasons = [f"{r.source_file}: {r.reason}" for r in files.select("source_file", "reason").limit(20).collect()]
         raise IngestError(f"every file was rejected: {reasons}")

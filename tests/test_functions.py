@@ -64,16 +64,21 @@ def test_cleaning_agrees_with_unicode_aware_patterns(spark):
         "acme", "sp. z o.o.", "s.a.", "SP J", "a/s", "GmbH", "ltd", "inc.", "30-001", "12345", "123456", "kraków",
         "Krakowa", "POZNAŃ", "issy-les-moul", "frankfurt am main", "ul.", "al", "al.", "street", "via", "éal", "viaé",
         "+48 123 456 789", "1234567", "12 34", "a.pl", "x.com/y", ".com", "é.de", "pol", "PL", "n", "de", "fra", "usa",
-        "żółw", "ß", "²", "ﬁn", "x\ny", " ", " ", "  ", "-", ",", ".", "ул", "한글",
+        "żółw", "ß", "²", "ﬁn", "x\ny", " ", " ", "  ", "-", ",", ".", "ул", "한글", "ſ.a.", "inc",
     ]
     samples = [rng.choice(["", " ", "x"]).join(rng.choices(parts, k=rng.randint(1, 7))) for _ in range(400)]
     samples += [" ".join(rng.choices(parts, k=rng.randint(1, 9))) for _ in range(1200)]
-    word, space = r"\w", r"\s"
+    space = r"\s"
+    legal, cities, codes = ("|".join(v).replace(text.SPACE, space) for v in (text.LEGAL_FORMS, text.CITIES, text.COUNTRY_CODES))
     patterns = [
-        p.replace(text.NON_SPACE, r"\S").replace(text.BLANKS, space).replace(f"[{space}]", space)
-        .replace(text.EDGE, r"\b").replace(text.WORD, word).replace(r"\p{Nd}", r"\d")
-        for p in text.NOISE
-    ]
+        rf"\S+\.({'|'.join(text.URL_ENDINGS)})\S*",
+        r"[+\d][\d\s]{6,}",
+        rf"\b({'|'.join(text.STREET_MARKERS)})\s+.*$",
+        rf"\b({legal})\b",
+        r"\b\d{2}-\d{3}\b|\b\d{5}\b",
+        rf"\b({cities})\b",
+        rf"\s+\b({codes})\b\s*$",
+    ]
     compiled = [re.compile(p, re.IGNORECASE) for p in patterns]
 
     def clean(value):
