@@ -229,7 +229,7 @@ def clean_parties(spark, sf_dir):
 @query
 def canonical_names(spark, sf_dir):
     named = naming.add_canonical(
-        silver(spark, sf_dir),
+        staged_silver(spark, sf_dir),
         "counterparty_details",
         name_candidates(spark, ALIASES, labels(spark)),
         "canonical",
@@ -294,7 +294,7 @@ def best_keywords(spark, sf_dir):
 @query
 def row_categories(spark, sf_dir):
     rows = naming.add_category(
-        silver(spark, sf_dir), "counterparty_details", "description", labels(spark), ["_line_block", "_line_seq"]
+        staged_silver(spark, sf_dir), "counterparty_details", "description", labels(spark), ["_line_block", "_line_seq"]
     )
     return rows.select(F.col("_line_seq").alias("o_orderkey"), "category", "subcategory")
 
@@ -302,7 +302,7 @@ def row_categories(spark, sf_dir):
 @query
 def category_map(spark, sf_dir):
     rows = naming.add_category(
-        silver(spark, sf_dir), "counterparty_details", "description", labels(spark), ["_line_block", "_line_seq"]
+        staged_silver(spark, sf_dir), "counterparty_details", "description", labels(spark), ["_line_block", "_line_seq"]
     )
     taxonomy = taxonomy_frame(spark, CATEGORIES)
     mapped = naming.category_map(rows, dimensions.category_dimension(taxonomy), "_line_seq")

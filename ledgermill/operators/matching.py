@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.similarity import char_masks, indel_ratio, lcs_length, percent
 from ledgermill.functions.text import blank_tokens, word_tokens
-from ledgermill.scale import BROADCAST_ROWS, bounded_arrow, fits_broadcast, stage
+from ledgermill.scale import BROADCAST_ROWS, attach, bounded_arrow, fits_broadcast, spread_join, stage
 
 CUTOFF = 80
 VOCABULARY_ROWS = 20_000
@@ -53,8 +53,11 @@ class Keywords:
         longest = listed.agg(F.max(F.length("keyword")).alias("m")).first().m
         return cls(listed, False, longest)
 
-    def join_side(self, df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if self.small else df
+    def find(self, rows: DataFrame, table: DataFrame, on: Sequence[str], spread: Sequence[str]) -> DataFrame:
+        """Inner join of many rows with a table made from the vocabulary."""
+        if self.small:
+            return rows.join(F.broadcast(table), list(on))
+        return spread_join(rows, table, on, spread)
 
 
 def text_key(text: Column) -> Column:
@@ -135,7 +138,7 @@ def ratio_join(strings: DataFrame, vocabulary: DataFrame | Keywords, cutoff: int
         .selectExpr("*", "substring(string, at + 1, piece_size) as piece")
     )
     candidates = (
-        probes.join(known.join_side(pieces), ["n", "piece_size", "piece"])
+        known.find(probes, pieces, ["n", "piece_size", "piece"], [*strings.columns, "at"])
         .filter("at - piece_at between -fewer and more")
         .filter("levenshtein(string, keyword, slack) >= 0")
     )
@@ -169,9 +172,10 @@ def token_set_join(tokens: DataFrame, vocabulary: DataFrame | Keywords, cutoff:
     # Beyond this length the remaining tokens alone put the score under the cutoff.
     reachable = F.col("chars") + F.col("count") <= known.longest * 3 + 4
     short_tokens = F.when(reachable, F.col("tokens")).alias("short_tokens")
+    text_tokens = tokens.select("text_id", "count", "chars", short_tokens, F.explode("tokens").alias("token"))
+    keyword_tokens = words.select("*", F.explode("kw_tokens").alias("token"))
     pairs = (
-        tokens.select("text_id", "count", "chars", short_tokens, F.explode("tokens").alias("token"))
-        .join(known.join_side(words.select("*", F.explode("kw_tokens").alias("token"))), "token")
+        known.find(text_tokens, keyword_tokens, ["token"], ["text_id"])
         .groupBy("text_id", "count", "chars", "short_tokens", *words.columns)
         .agg(F.count(F.lit(1)).alias("shared"), F.sum(F.length("token")).alias("shared_chars"))
         .select(
@@ -201,7 +205,7 @@ def token_set_join(tokens: DataFrame, vocabulary: DataFrame | Keywords, cutoff:
     joined = words.select(_joined(F.col("kw_tokens")).alias("keyword"), "pos")
     disjoint = ~F.arrays_overlap(F.split("string", " "), F.split("keyword", " "))
     apart = ratio_join(brief, replace(known, frame=joined), cutoff).filter(disjoint)
-    named = apart.drop("keyword").join(known.join_side(known.frame), "pos")
+    named = known.find(apart.drop("keyword"), known.frame, ["pos"], ["text_id"])
     return sharing.unionByName(named.select(*sharing.columns))
 
 
@@ -219,7 +223,7 @@ def token_hits(tokens: DataFrame, vocabulary: DataFrame | Keywords, cutoff: int
         return words.join(F.broadcast(closest), "string").drop("string")
     # One copy of a word per text is enough, and its first place decides ties.
     firsts = words.groupBy("text_id", "string").agg(F.min("token_at").alias("token_at"))
-    return firsts.join(closest, "string").drop("string")
+    return attach(firsts, closest, ["string"], "inner", spread=["text_id"]).drop("string")
 
 
 def _rank(between: Sequence[Column]) -> Column:

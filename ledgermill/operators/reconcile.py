@@ -41,17 +41,19 @@ def unparsed_dates(raw: DataFrame, date_column: str, typed: Column) -> DataFrame
     return raw.filter(is_real_date(date_column) & typed.isNull())
 
 
-def rejected_casts(raw: DataFrame, casts: Mapping[str, Column]) -> DataFrame:
-    """(column_name, rejected): non-blank texts each cast could not read.
+def rejected_names(casts: Mapping[str, Column]) -> Column:
+    """Comma-separated names of the raw columns holding a non-blank text that the
+    cast could not read. `casts` maps a raw column to the typed expression over it."""
+    return F.concat_ws(",", *[F.when(_rejected(name, typed), F.lit(name)) for name, typed in casts.items()])
 
-    `casts` maps a raw column to the typed expression over it.
-    """
-    counts = raw.agg(
-        *[
-            F.count_if((F.regexp_replace(name, r"[\s\xa0]", "") != "") & typed.isNull()).alias(name)
-            for name, typed in casts.items()
-        ]
-    )
+
+def _rejected(name: str, typed: Column) -> Column:
+    return (F.regexp_replace(name, r"[\s\xa0]", "") != "") & typed.isNull()
+
+
+def rejected_casts(raw: DataFrame, casts: Mapping[str, Column]) -> DataFrame:
+    """(column_name, rejected): how many texts of each column its cast could not read."""
+    counts = raw.agg(*[F.count_if(_rejected(name, typed)).alias(name) for name, typed in casts.items()])
     return counts.unpivot([], list(casts), "column_name", "rejected")
 
 

@@ -14,7 +14,7 @@ from ledgermill.operators.reconcile import (
     control_totals,
     drop_repeats,
     lookback,
-    rejected_casts,
+    rejected_names,
     unparsed_dates,
 )
 from ledgermill.operators.rules import add_classification
@@ -46,8 +46,9 @@ def strict_casts() -> dict[str, Column]:
     return {name: cast(name) for name, cast in STRICT_CASTS.items()}
 
 
-def type_rows(raw: DataFrame) -> DataFrame:
-    """Typed rows of all raw rows that carry a transaction date.
+def type_rows(raw: DataFrame, *extra: Column) -> DataFrame:
+    """Typed rows of all raw rows that carry a transaction date, with `extra` columns
+    over the raw ones.
 
     One projection and one filter over the scan. The content key is taken over
     the raw texts, so it does not depend on the cleaning below it.
@@ -78,30 +79,29 @@ def type_rows(raw: DataFrame) -> DataFrame:
         p.tidy("account").alias("account"),
         p.locale_double("balance_after_transaction").alias("balance_after_transaction"),
         *[c for c in PROVENANCE_COLUMNS + POSITION_COLUMNS if c in raw.columns],
+        *extra,
     )
 
 
-def silver_rows(raw: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
-    return add_classification(type_rows(raw), patterns)
+def silver_rows(raw: DataFrame, patterns: Mapping[str, str], *extra: Column) -> DataFrame:
+    return add_classification(type_rows(raw, *extra), patterns)
+
+
+def require_readable(rows: DataFrame) -> None:
+    """Raise when `_rejected` names a column whose text could not be cast."""
+    names = rows.filter("_rejected != ''").select(F.explode(F.split("_rejected", ",")).alias("name"))
+    found = names.groupBy("name").count().collect()  # at most one row per cast column
+    if found:
+        raise DataLossError(f"texts that could not be read: {sorted((r.name, r['count']) for r in found)}")
 
 
 def require_complete(raw: DataFrame, totals: DataFrame) -> None:
-    """Raise when a text could not be cast, or when the declared and kept row
-    counts differ and a raw row that names a real day was left out."""
-    kept = raw.filter(p.lenient_date("transaction_date").isNotNull())
-    rejected = [
-        f"{r.column_name}: {r.rejected}"
-        for r in rejected_casts(kept, strict_casts()).filter("rejected > 0").collect()
-    ]
-    if rejected:
-        raise DataLossError(f"texts that could not be read: {rejected}")
-    differs = totals.agg(F.sum("difference").alias("d")).first().d
-    if not differs:
+    """Raise when the declared and kept row counts differ and a raw row that names a
+    real day was left out."""
+    if not totals.agg(F.sum("difference").alias("d")).first().d:
         return
     lost = unparsed_dates(raw, "transaction_date", p.lenient_date("transaction_date"))
-    found = lost.agg(
-        F.count(F.lit(1)).alias("n"), F.min("transaction_date").alias("example")
-    ).first()
+    found = lost.agg(F.count(F.lit(1)).alias("n"), F.min("transaction_date").alias("example")).first()
     if found.n:
         raise DataLossError(f"{found.n} rows with a real date were dropped, such as {found.example}")
 
@@ -115,7 +115,9 @@ def build_silver(
 ) -> Silver:
     """Read, type and classify a folder of exports, written once for all readers."""
     export = read_exports(spark, folder)
-    rows = stage(silver_rows(export.rows, patterns), "silver")
+    audited = stage(silver_rows(export.rows, patterns, rejected_names(strict_casts()).alias("_rejected")), "silver")
+    require_readable(audited)
+    rows = audited.drop("_rejected")
     declared = export.files.filter("accepted").select(
         F.col("source_file").alias("_source_file"), "declared"
     )

@@ -128,3 +128,14 @@ def attach(
         .join(salted_table.drop("_hot"), [*on, "_salt"], how)
         .drop("_salt")
     )
+
+
+def spread_join(
+    rows: DataFrame, table: DataFrame, on: Sequence[str], spread: Sequence[str], salts: int = 16
+) -> DataFrame:
+    """Inner join of two sides that both repeat their keys and neither of which can be
+    broadcast. Every key is split into `salts` parts by a hash of `spread`, and the
+    table, the smaller side, repeated for each, so no key meets in one task."""
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, [*on, "_salt"]).drop("_salt")

@@ -245,19 +245,13 @@ def _width(text: Column) -> Column:
     return F.regexp_count(F.regexp_replace(text, '"[^"]*"', ""), F.lit(DELIMITER)) + 1
 
 
-def body_lines(lines: DataFrame, profile: DataFrame) -> DataFrame:
-    """The non-empty lines after the header of every file that has one, with its charset."""
-    heads = profile.filter("header_at is not null").select("path", "charset", "header_at")
+def body_lines(lines: DataFrame, heads: DataFrame) -> DataFrame:
+    """The non-empty lines after the header of the files in `heads`, which has (path,
+    header_at) and whatever else the lines should carry."""
     joined = attach(lines.drop("source_file"), heads, ["path"], "inner", spread=["block", "seq"])
     return joined.filter((F.struct("block", "seq") > F.col("header_at")) & (F.col("width") > 0)).drop("header_at")
 
 
-def decoded(lines: DataFrame, fallback: str = FALLBACK_CHARSET) -> DataFrame:
-    return lines.select(
-        "path", "block", "seq", decode(F.col("raw"), F.col("charset"), fallback).alias("line")
-    )
-
-
 def join_broken_records(lines: DataFrame) -> DataFrame:
     """(path, block, seq, line, n_lines, closed): records whose quoted cells span lines.
 
@@ -313,7 +307,8 @@ def repaired_records(lines: DataFrame, fallback: str = FALLBACK_CHARSET) -> Data
     `whole` is false for a record left open at the end of its file, or longer
     than any real record, both signs of a stray quote.
     """
-    joined = join_broken_records(decoded(lines, fallback))
+    line = decode(F.col("raw"), F.col("charset"), fallback).alias("line")
+    joined = join_broken_records(lines.select("path", "block", "seq", line))
     whole = F.col("closed") & (F.col("n_lines") <= RECORD_LINES)
     return joined.select(
         "path", "block", "seq", "line", _width(F.col("line")).alias("width"), whole.alias("whole")
@@ -345,35 +340,24 @@ def judge_files(profile: DataFrame, shapes: DataFrame) -> DataFrame:
     return judged.withColumn("reason", reason).withColumn("accepted", F.col("reason").isNull())
 
 
-def parse_records(records: DataFrame, files: DataFrame, hashes: DataFrame | None = None) -> DataFrame:
-    """All-text rows of the accepted files, in the fixed column order.
-
-    Cells are placed by each file's own header, so column order may differ
-    between files; absent optional columns are NULL and unknown ones ignored.
-    """
-    accepted = files.filter("accepted").select("path", "source_file", "positions", "names")
-    if hashes is None:
-        accepted = accepted.withColumn("hash", F.lit(None).cast("string"))
-    else:
-        accepted = accepted.join(hashes, "path", "left")
-    widest = accepted.agg(F.max(F.size("names"))).first()[0] or 1  # one number
+def parse_cells(lines: DataFrame, widest: int) -> DataFrame:
+    """All-text rows from lines that carry their file's `positions`, `source_file` and
+    `hash`. Cells are placed by each file's own header, so column order may differ
+    between files; absent optional columns are NULL and unknown ones ignored."""
     schema = ", ".join(f"c{i} string" for i in range(widest))
     # A null marker no export contains keeps a quoted empty cell apart from a missing one.
     options = {"sep": DELIMITER, "quote": '"', "escape": '"', "nullValue": "\x00", "mode": "PERMISSIVE"}
-    cells = F.from_csv("line", schema, options)
-    placed = attach(records, accepted.drop("names"), ["path"], "inner", spread=["block", "seq"])
-    placed = placed.withColumn("cells", cells).withColumn(
+    placed = lines.withColumn("cells", F.from_csv("line", schema, options)).withColumn(
         "cells", F.array(*[F.col(f"cells.c{i}") for i in range(widest)])
     )
     columns = [
         F.when(F.col("positions")[i] > 0, F.try_element_at("cells", F.col("positions")[i])).alias(name)
         for i, name in enumerate(BUSINESS_COLUMNS)
     ]
-    ingested_at = F.lit(datetime.now(UTC))
     return placed.select(
         *columns,
         F.col("source_file").alias("_source_file"),
-        ingested_at.alias("_ingested_at"),
+        F.lit(datetime.now(UTC)).alias("_ingested_at"),
         F.col("hash").alias("_hash"),
         F.col("block").alias("_line_block"),
         F.col("seq").alias("_line_seq"),
@@ -386,28 +370,45 @@ def parse_lines(
     fallback: str = FALLBACK_CHARSET,
     listed: DataFrame | None = None,
 ) -> Export:
-    """Rows and per-file verdicts from scanned lines. `listed` adds files without any line."""
+    """Rows and per-file verdicts from staged lines. `listed` adds files without any line.
+
+    Files are judged from the marks of their lines alone; the lines themselves
+    are read once more, to parse those of accepted files.
+    """
     profile = profile_files(lines, fallback)
     if listed is not None:
         profile = listed.join(profile.drop("source_file"), "path", "left")
     profile = stage(profile, "profile")
-    body = body_lines(lines, profile)
+    heads = profile.filter("header_at is not null").select("path", "charset", "header_at")
+    body = body_lines(lines, heads)
     shapes = stage(shaped_files(body), "shapes")
     broken = shapes.filter("broken").select("path", "broken")
-    records = decoded(body, fallback)
     sound = shapes.filter("not broken").select("path", "width", F.lit(True).alias("whole"))
+    repaired = None
     if not broken.isEmpty():
-        tagged = attach(body, broken, ["path"], "left", spread=["block", "seq"])
-        repaired = stage(repaired_records(tagged.filter("broken"), fallback), "repaired-records")
-        records = decoded(tagged.filter("broken is null"), fallback).unionByName(repaired.select(*records.columns))
+        tagged = attach(body, broken, ["path"], "inner", spread=["block", "seq"])
+        repaired = stage(repaired_records(tagged, fallback), "repaired-records")
         sound = sound.unionByName(
             repaired.groupBy("path").agg(F.max("width").alias("width"), F.bool_and("whole").alias("whole"))
         )
     files = stage(judge_files(profile, sound), "files")
-    if files.filter("accepted").isEmpty():
+    accepted = files.filter("accepted")
+    if accepted.isEmpty():
         reasons = [f"{r.source_file}: {r.reason}" for r in files.select("source_file", "reason").limit(20).collect()]
         raise IngestError(f"every file was rejected: {reasons}")
-    return Export(parse_records(records, files, hashes), files)
+
+    hashes = accepted.select("path", F.lit(None).cast("string").alias("hash")) if hashes is None else hashes
+    layout = accepted.join(hashes, "path", "left").select(
+        "path", "source_file", "charset", "header_at", "positions", "hash"
+    )
+    widest = accepted.agg(F.max(F.size("names"))).first()[0]  # one number
+    kept = ["source_file", "positions", "hash", "block", "seq", "line"]
+    whole_lines = body_lines(lines, layout.join(broken, "path", "left_anti"))
+    records = whole_lines.withColumn("line", decode(F.col("raw"), F.col("charset"), fallback)).select(*kept)
+    if repaired is not None:
+        joined = attach(repaired, layout, ["path"], "inner", spread=["block", "seq"])
+        records = records.unionByName(joined.select(*kept))
+    return Export(parse_cells(records, widest), files)
 
 
 def read_exports(

@@ -123,6 +123,7 @@ def test_joins_agree_without_broadcast(spark, monkeypatch):
     sample, table, vocabulary = frames(spark)
     monkeypatch.setattr(matching, "VOCABULARY_ROWS", 0)
     monkeypatch.setattr(matching, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(matching.attach, "__defaults__", ("left", (), 0))
     hits = {r.text: r.keyword for r in matching.best_keywords(matching.tokenise(table), vocabulary).join(table, "text_id").collect()}
     assert hits == {t: b[0] for t in sample if (b := plain.best_keyword(t, KEYWORDS))}
 
