@@ -315,14 +315,6 @@ def repaired_records(lines: DataFrame, fallback: str = FALLBACK_CHARSET) -> Data
     )
 
 
-def listed_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """(path, source_file) of the matching files, from the listing alone."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    return files.select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("source_file")
-    )
-
-
 def judge_files(profile: DataFrame, shapes: DataFrame) -> DataFrame:
     """The profile with `accepted` and the `reason` for rejection; `shapes` has
     (path, width, whole)."""
@@ -365,20 +357,14 @@ def parse_cells(lines: DataFrame, widest: int) -> DataFrame:
 
 
 def parse_lines(
-    lines: DataFrame,
-    hashes: DataFrame | None = None,
-    fallback: str = FALLBACK_CHARSET,
-    listed: DataFrame | None = None,
+    lines: DataFrame, hashes: DataFrame | None = None, fallback: str = FALLBACK_CHARSET
 ) -> Export:
-    """Rows and per-file verdicts from staged lines. `listed` adds files without any line.
+    """Rows and per-file verdicts from staged lines.
 
     Files are judged from the marks of their lines alone; the lines themselves
     are read once more, to parse those of accepted files.
     """
-    profile = profile_files(lines, fallback)
-    if listed is not None:
-        profile = listed.join(profile.drop("source_file"), "path", "left")
-    profile = stage(profile, "profile")
+    profile = stage(profile_files(lines, fallback), "profile")
     heads = profile.filter("header_at is not null").select("path", "charset", "header_at")
     body = body_lines(lines, heads)
     shapes = stage(shaped_files(body), "shapes")
@@ -417,8 +403,9 @@ def read_exports(
     """Read every matching file directly under `folder`.
 
     A file that cannot be used is left out and listed with the reason; the
-    others go on. No matching file, or none usable, is an `IngestError`.
+    others go on. No matching file, or none usable, is an `IngestError`. A file
+    without a single line has nothing to list and is passed over.
     """
     lines = scan_lines(spark, folder, pattern)
     hashes = file_hashes(spark, folder, lines, pattern)
-    return parse_lines(lines, hashes, fallback, listed_files(spark, folder, pattern))
+    return parse_lines(lines, hashes, fallback)

@@ -80,7 +80,6 @@ def test_rejects_each_unusable_file_with_its_reason(spark, tmp_path):
         "missing.csv": "missing mandatory columns: Tytuł",
         "wide.csv": "a row is wider than the header",
         "quote.csv": "unbalanced quotes",
-        "empty.csv": "header or row count not found",
     }
     assert {r[0] for r in read.rows.select("_source_file").distinct().collect()} == {"good.csv"}
 
