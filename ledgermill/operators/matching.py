@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from ledgermill.functions.text import blank_tokens, word_tokens
 from ledgermill.scale import BROADCAST_ROWS, attach, bounded_arrow, fits_broadcast, spread_join, stage
 
 CUTOFF = 80
-VOCABULARY_ROWS = 20_000
+VOCABULARY_ROWS = 10_000
 
 
 @dataclass(frozen=True)
@@ -118,6 +119,27 @@ def _pieces(keywords: DataFrame, cutoff: int) -> DataFrame:
     )
 
 
+def _local_pieces(pieces: DataFrame, known: Keywords) -> tuple[DataFrame, DataFrame, Keywords]:
+    """The pieces, the piece sizes (n, sizes) to look for per text length, and how to
+    join: as literal tables while there are few pieces, else as a written table."""
+    spark = pieces.sparkSession
+    table = bounded_arrow(pieces, BROADCAST_ROWS) if known.small else None
+    if table is None:
+        pieces = stage(pieces, "pieces")
+        sizes = pieces.groupBy("n").agg(F.collect_set("piece_size").alias("sizes"))
+        return pieces, sizes, replace(known, small=False)
+    found: dict[int, set[int]] = {}
+    for n, size in zip(table["n"].to_pylist(), table["piece_size"].to_pylist(), strict=True):
+        found.setdefault(n, set()).add(size)
+    listed = pa.table(
+        {
+            "n": pa.array(list(found), pa.int32()),
+            "sizes": pa.array([sorted(s) for s in found.values()], pa.list_(pa.int32())),
+        }
+    )
+    return spark.createDataFrame(table, pieces.schema), spark.createDataFrame(listed), known
+
+
 def ratio_join(strings: DataFrame, vocabulary: DataFrame | Keywords, cutoff: int = CUTOFF) -> DataFrame:
     """Pairs of `strings` (with a `string` column) and keywords whose indel ratio
     is at least `cutoff`; adds `keyword`, `pos` and `score`.
@@ -128,8 +150,7 @@ def ratio_join(strings: DataFrame, vocabulary: DataFrame | Keywords, cutoff: int
         raise ValueError("the cutoff must lie between 75 and 100")
     known = Keywords.of(vocabulary)
     masked = known.frame.select("keyword", "pos", char_masks("keyword").alias("masks"))
-    pieces = _pieces(masked, cutoff)
-    sizes = pieces.groupBy("n").agg(F.collect_set("piece_size").alias("sizes"))
+    pieces, sizes, known = _local_pieces(_pieces(masked, cutoff), known)
     probes = (
         strings.withColumn("n", F.length("string"))
         .join(F.broadcast(sizes), "n")  # at most one row per admissible length
