@@ -27,6 +27,7 @@ from ledgermill.scale import BROADCAST_ROWS, attach, bounded_arrow, fits_broadca
 
 CUTOFF = 80
 VOCABULARY_ROWS = 10_000
+PIECE_ROWS = 50_000
 
 
 @dataclass(frozen=True)
@@ -123,7 +124,7 @@ def _local_pieces(pieces: DataFrame, known: Keywords) -> tuple[DataFrame, DataFr
     """The pieces, the piece sizes (n, sizes) to look for per text length, and how to
     join: as literal tables while there are few pieces, else as a written table."""
     spark = pieces.sparkSession
-    table = bounded_arrow(pieces, BROADCAST_ROWS) if known.small else None
+    table = bounded_arrow(pieces, PIECE_ROWS) if known.small else None
     if table is None:
         pieces = stage(pieces, "pieces")
         sizes = pieces.groupBy("n").agg(F.collect_set("piece_size").alias("sizes"))

@@ -55,6 +55,7 @@ def classify(rules: Sequence[Rule], otherwise: str) -> Column:
 
 
 def payment_method(details: Column) -> Column:
+    """Method of a lowercased detail text. Labels, texts and their order."""
     return classify(
         [
             ("currency_exchange", details.like("%kantor%") | details.like("przelew kurs%")),
@@ -71,7 +72,10 @@ def payment_method(details: Column) -> Column:
 def event_type(
     method: Column, party: Column, description: Column, account: Column, patterns: Mapping[str, str]
 ) -> Column:
-    """`patterns` holds the eight private patterns by name; a missing one is a KeyError."""
+    """Event type of a transaction. Labels, texts and their order.
+
+    `patterns` holds the eight private patterns by name; a missing one is a KeyError.
+    """
     family = party.rlike(patterns["family_member_rlike"])
     wired = method.isin("sepa_transfer", "transfer")
     return classify(

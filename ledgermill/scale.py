@@ -14,6 +14,7 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Session settings the package is tuned with. Expressions over many text columns
 # generate methods beyond what the JVM compiles; the limit makes Spark split them.
@@ -24,6 +25,8 @@ SESSION_SETTINGS = {
 }
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 128 * 1024 * 1024
+COPY_ROWS = 10_000
 HOT_SHARE = 4096
 SALTS = 64
 
@@ -52,9 +55,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether `df` has at most `rows` rows; reads no more than one row beyond that."""
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+def _row_bytes(schema: T.StructType) -> Column:
+    """About how many bytes a row takes: texts and nested values measured, the rest fixed."""
+    total = F.lit(8 * len(schema))
+    for field in schema:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))
+    return total.cast("bigint")
+
+
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether `df` has at most `rows` rows and about `size` bytes, both measured."""
+    measured = df.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_row_bytes(df.schema)), F.lit(0)).alias("size")
+    ).first()
+    return measured.n <= rows and measured["size"] <= size
 
 
 def widen(df: DataFrame, key: str) -> DataFrame:
@@ -77,7 +94,7 @@ def bounded_arrow(df: DataFrame, rows: int) -> pa.Table | None:
     return table if table.num_rows <= rows else None
 
 
-def small_copy(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def small_copy(df: DataFrame, rows: int = COPY_ROWS) -> DataFrame:
     """`df` rebuilt from its rows if they are few, else written to the shared folder."""
     table = bounded_arrow(df, rows)
     return stage(df, "copy") if table is None else df.sparkSession.createDataFrame(table, df.schema)
@@ -93,7 +110,8 @@ def attach(
 ) -> DataFrame:
     """Join `rows` to `table`, which has at most one row per key `on`.
 
-    A table within `limit` rows is broadcast and `rows` stay where they are.
+    A table within `limit` rows and `BROADCAST_BYTES` is broadcast and `rows` stay
+    where they are.
     A larger one is joined by shuffle, with the hot keys of `rows` salted:
     keys holding more than 1/`HOT_SHARE` of all rows, hence fewer than
     `HOT_SHARE` of them, are replicated `SALTS` times on the table side.

@@ -1,4 +1,4 @@
-from ledgermill.scale import attach, fits_broadcast
+from ledgermill.scale import attach, fits_broadcast, spread_join
 
 
 def test_attach_gives_the_same_rows_by_broadcast_and_by_salted_shuffle(spark):
@@ -17,6 +17,19 @@ def test_attach_gives_the_same_rows_by_broadcast_and_by_salted_shuffle(spark):
     assert "_salt" in plan
 
 
-def test_fits_broadcast_counts_up_to_its_limit(spark):
+def test_fits_broadcast_measures_rows_and_bytes(spark):
     assert fits_broadcast(spark.range(10), 10)
     assert not fits_broadcast(spark.range(11), 10)
+    assert fits_broadcast(spark.range(0))
+    long = spark.range(4).selectExpr("id", "repeat('x', 1000) as s", "array(repeat('y', 1000)) as a")
+    assert fits_broadcast(long, 10, 10_000)
+    assert not fits_broadcast(long, 10, 8_000)
+    assert fits_broadcast(long.select("id", "s"), 10, 5_000)
+
+
+def test_spread_join_is_the_inner_join(spark):
+    rows = spark.range(2_000).selectExpr("id", "id % 7 as k")
+    table = spark.range(40).selectExpr("id % 10 as k", "id as t")
+    spread = spread_join(rows, table, ["k"], ["id"])
+    plain = rows.join(table, ["k"])
+    assert spread.exceptAll(plain).isEmpty() and plain.exceptAll(spread).isEmpty()
