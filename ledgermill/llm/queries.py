@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import bpe, token_counts
+from ledgermill.llm import bpe, languages, mixing, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 BYTE_BPE = "byte_bpe_50k.json"
+MIX_POWER = 0.7  # sources weigh as their bytes to this power
 
 
 def query(function: Query) -> Query:
@@ -32,3 +33,14 @@ def op8_bpe_segment_tree(spark, sf_dir):
 @query
 def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
+@query
+def op7_language_fusion(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return languages.identify_languages(docs).select("doc_id", "language", "confidence", "rejected")
+
+
+@query
+def op9_poisson_mix(spark, sf_dir):
+    return mixing.poisson_mix(read(spark, sf_dir, "documents"), power=MIX_POWER)
