@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import bpe, languages, mixing, token_counts
+from ledgermill.llm import bpe, jaccard, languages, mixing, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +35,11 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+@query
+def op1_chosen_path_join(spark, sf_dir):
+    return jaccard.jaccard_join(read(spark, sf_dir, "documents"))
+
+
 @query
 def op7_language_fusion(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
