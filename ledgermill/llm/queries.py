@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import bpe, jaccard, languages, mixing, repeats, token_counts
+from ledgermill.llm import bpe, jaccard, languages, line_quality, mixing, repeats, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +45,11 @@ def op3_previous_factors(spark, sf_dir):
     return repeats.repeat_digests(read(spark, sf_dir, "documents"))
 
 
+@query
+def op5_line_frequency(spark, sf_dir):
+    return line_quality.line_quality(read(spark, sf_dir, "documents")).drop("left_chars")
+
+
 @query
 def op7_language_fusion(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
