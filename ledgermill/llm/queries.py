@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import bpe, jaccard, languages, line_quality, mixing, repeats, token_counts
+from ledgermill.llm import bpe, jaccard, languages, licenses, line_quality, mixing, repeats, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,6 +50,11 @@ def op5_line_frequency(spark, sf_dir):
     return line_quality.line_quality(read(spark, sf_dir, "documents")).drop("left_chars")
 
 
+@query
+def op6_license_diagonals(spark, sf_dir):
+    return licenses.scan_licenses(read(spark, sf_dir, "documents")).drop("spans")
+
+
 @query
 def op7_language_fusion(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
