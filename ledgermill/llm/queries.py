@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import bpe, jaccard, languages, licenses, line_quality, mixing, repeats, token_counts
+from ledgermill.llm import bpe, jaccard, languages, licenses, line_quality, mixing, repeats, token_counts, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,6 +40,11 @@ def op1_chosen_path_join(spark, sf_dir):
     return jaccard.jaccard_join(read(spark, sf_dir, "documents"))
 
 
+@query
+def op2_wrapper_induction(spark, sf_dir):
+    return wrappers.extract_main_text(read(spark, sf_dir, "pages"))
+
+
 @query
 def op3_previous_factors(spark, sf_dir):
     return repeats.repeat_digests(read(spark, sf_dir, "documents"))
