@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import bpe, jaccard, languages, licenses, line_quality, mixing, repeats, token_counts, wrappers
+from ledgermill.llm import bpe, jaccard, languages, licenses, line_quality, mixing, neighbours, repeats, token_counts, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,6 +50,11 @@ def op3_previous_factors(spark, sf_dir):
     return repeats.repeat_digests(read(spark, sf_dir, "documents"))
 
 
+@query
+def op4_posting_lists(spark, sf_dir):
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, k=20)
+
+
 @query
 def op5_line_frequency(spark, sf_dir):
     return line_quality.line_quality(read(spark, sf_dir, "documents")).drop("left_chars")
