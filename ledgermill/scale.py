@@ -55,6 +55,38 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+class Scratch:
+    """Staged tables that are deleted together when the block that made them ends.
+
+    What the block returns must not read them any more: it is staged itself, or
+    made of tables that were staged outside. Then nothing that may have to be
+    computed again after the loss of an executor refers to a deleted file.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+        self.n = 0
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        self.n += 1
+        path = f"{self.folder}/{self.n}-{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        discard(self.spark, self.folder)
+
+
 def _row_bytes(schema: T.StructType) -> Column:
     """About how many bytes a row takes: texts and nested values measured, the rest fixed."""
     total = F.lit(8 * len(schema))
