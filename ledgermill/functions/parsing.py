@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgermill.functions.text import SPACE
+
 ISO_DATE = "yyyy-MM-dd"
 AMOUNT_TYPE = "decimal(18,2)"
 
@@ -29,8 +31,8 @@ def exact_date(value: Column | str, pattern: str = ISO_DATE) -> Column:
 
 
 def is_real_date(value: Column | str) -> Column:
-    """Whether the text names a calendar day, with or without leading zeros."""
-    text = F.trim(_col(value))
+    """Whether the text names a calendar day, with or without leading zeros and with any white space around it."""
+    text = F.regexp_replace(_col(value), f"^{SPACE}+|{SPACE}+$", "")
     shaped = text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$")
     return F.coalesce(shaped & F.try_to_date(text, "yyyy-M-d").isNotNull(), F.lit(False))
 

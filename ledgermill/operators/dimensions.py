@@ -7,9 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.functions.keys import UNKNOWN_NAME_KEY, category_key, date_key, name_key
+from ledgermill.functions.keys import category_key, date_key, name_key
 from ledgermill.operators.rules import PAYMENT_METHODS
-from ledgermill.operators.vocabulary import UNCLASSIFIED, UNCLASSIFIED_KEY
+from ledgermill.operators.vocabulary import UNCLASSIFIED, UNCLASSIFIED_KEY, examples
 
 
 class KeyCollision(ValueError):
@@ -57,15 +57,12 @@ def method_dimension(spark: SparkSession, methods: Mapping[str, str] = PAYMENT_M
 
 
 def party_dimension(rows: DataFrame, name_column: str) -> DataFrame:
-    """Distinct non-empty canonical names and the unknown member."""
-    known = rows.select(F.col(name_column).alias("counterparty_details")).filter(
-        F.col("counterparty_details") != ""
-    )
-    keyed = known.distinct().select(
-        name_key(F.col("counterparty_details")).alias("counterparty_sk"), "counterparty_details"
-    )
-    unknown = rows.sparkSession.createDataFrame([(UNKNOWN_NAME_KEY, "")], keyed.schema)
-    return keyed.unionByName(unknown)
+    """One member per canonical name. The empty name, whose key is the unknown one,
+    is a member even if no row has it."""
+    nameless = rows.sparkSession.createDataFrame([("",)], "counterparty_details string")
+    names = rows.select(F.coalesce(name_column, F.lit("")).alias("counterparty_details"))
+    members = names.union(nameless).distinct()
+    return members.select(name_key(F.col("counterparty_details")).alias("counterparty_sk"), "counterparty_details")
 
 
 def category_dimension(taxonomy: DataFrame) -> DataFrame:
@@ -85,6 +82,7 @@ def key_collisions(dimension: DataFrame, key: str) -> DataFrame:
 
 
 def require_unique_keys(dimension: DataFrame, key: str) -> None:
-    repeated = [r[0] for r in key_collisions(dimension, key).select(key).limit(20).collect()]
-    if repeated:
-        raise KeyCollision(f"{key} is not unique: {sorted(repeated)}")
+    repeated = key_collisions(dimension, key).select(key)
+    total = repeated.count()
+    if total:
+        raise KeyCollision(f"{key} is not unique: {examples(repeated, total)}")

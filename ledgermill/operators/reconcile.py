@@ -35,10 +35,15 @@ def lost_rows(raw: DataFrame, kept: DataFrame, keys: Sequence[str], date_column:
     return raw.filter(is_real_date(date_column)).join(kept.select(*keys), list(keys), "left_anti")
 
 
+def unread_day(date_column: str, typed: Column) -> Column:
+    """The text of a row that names a real day although `typed`, its reading, is NULL; else NULL."""
+    return F.when(is_real_date(date_column) & typed.isNull(), F.col(date_column))
+
+
 def unparsed_dates(raw: DataFrame, date_column: str, typed: Column) -> DataFrame:
     """The rows `lost_rows` finds when `kept` is just `raw` filtered on `typed`
     being present: a plain filter, with no join."""
-    return raw.filter(is_real_date(date_column) & typed.isNull())
+    return raw.filter(unread_day(date_column, typed).isNotNull())
 
 
 def rejected_names(casts: Mapping[str, Column]) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,11 @@ class VocabularyError(ValueError):
 
 
 def _flatten(spark: SparkSession, nested: Mapping[str, Sequence[str]], outer: str, inner: str) -> DataFrame:
-    pairs = [(at, key, list(values)) for at, (key, values) in enumerate(nested.items())]
-    table = spark.createDataFrame(pairs, f"at int, {outer} string, items array<string>")
-    return table.select("at", outer, F.posexplode("items").alias("item_at", inner)).select(
-        outer, inner, (F.col("at").cast("bigint") * 1_000_000 + F.col("item_at")).alias("pos")
+    begins = accumulate((len(values) for values in nested.values()), initial=0)
+    lists = [(begin, key, list(values)) for begin, (key, values) in zip(begins, nested.items(), strict=False)]
+    table = spark.createDataFrame(lists, f"begin bigint, {outer} string, items array<string>")
+    return table.select("begin", outer, F.posexplode("items").alias("at", inner)).select(
+        outer, inner, (F.col("begin") + F.col("at")).alias("pos")
     )
 
 
@@ -65,10 +67,17 @@ def repeated_keywords(training: DataFrame) -> DataFrame:
     )
 
 
+def examples(names: DataFrame, total: int, shown: int = 20) -> str:
+    """The first of `total` names in order, and how many more there are."""
+    first = [r[0] for r in names.orderBy(names.columns[0]).limit(shown).collect()]
+    return f"{first}" + (f" and {total - shown} more" if total > shown else "")
+
+
 def require_known_subcategories(taxonomy: DataFrame, training: DataFrame) -> None:
-    unknown = [r.subcategory for r in unknown_subcategories(taxonomy, training).limit(20).collect()]
-    if unknown:
-        raise VocabularyError(f"subcategories missing from the taxonomy: {sorted(unknown)}")
+    unknown = unknown_subcategories(taxonomy, training)
+    total = unknown.count()
+    if total:
+        raise VocabularyError(f"subcategories missing from the taxonomy: {examples(unknown, total)}")
 
 
 def name_candidates(spark: SparkSession, aliases: Sequence[str], labels: DataFrame) -> DataFrame:

@@ -15,11 +15,11 @@ from ledgermill.operators.reconcile import (
     drop_repeats,
     lookback,
     rejected_names,
-    unparsed_dates,
+    unread_day,
 )
 from ledgermill.operators.rules import add_classification
 from ledgermill.scale import stage
-from ledgermill.sources.exports import POSITION_COLUMNS, PROVENANCE_COLUMNS, read_exports
+from ledgermill.sources.exports import FALLBACK_CHARSET, POSITION_COLUMNS, PROVENANCE_COLUMNS, read_exports
 
 
 class DataLossError(ValueError):
@@ -46,9 +46,9 @@ def strict_casts() -> dict[str, Column]:
     return {name: cast(name) for name, cast in STRICT_CASTS.items()}
 
 
-def type_rows(raw: DataFrame, *extra: Column) -> DataFrame:
-    """Typed rows of all raw rows that carry a transaction date, with `extra` columns
-    over the raw ones.
+def type_rows(raw: DataFrame, *extra: Column, also: Column | None = None) -> DataFrame:
+    """Typed rows of all raw rows that carry a transaction date, and of those that
+    `also` selects, with `extra` columns over the raw ones.
 
     One projection and one filter over the scan. The content key is taken over
     the raw texts, so it does not depend on the cleaning below it.
@@ -60,7 +60,7 @@ def type_rows(raw: DataFrame, *extra: Column) -> DataFrame:
         F.col("counterparty_details"),
         F.col("transaction_amount"),
     ]
-    return raw.filter(day.isNotNull()).select(
+    return raw.filter(day.isNotNull() if also is None else day.isNotNull() | also).select(
         content_key(parts).alias("transaction_sk"),
         day.alias("transaction_date"),
         STRICT_CASTS["posting_date"]("posting_date").alias("posting_date"),
@@ -83,8 +83,24 @@ def type_rows(raw: DataFrame, *extra: Column) -> DataFrame:
     )
 
 
-def silver_rows(raw: DataFrame, patterns: Mapping[str, str], *extra: Column) -> DataFrame:
-    return add_classification(type_rows(raw, *extra), patterns)
+def silver_rows(
+    raw: DataFrame, patterns: Mapping[str, str], *extra: Column, also: Column | None = None
+) -> DataFrame:
+    return add_classification(type_rows(raw, *extra, also=also), patterns)
+
+
+def audited_rows(raw: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
+    """`silver_rows` with what is wrong with each: `_rejected` names the columns whose
+    text could not be cast, `_lost` holds the date of a row that names a real day and
+    would be left out. Such a row is kept here, so that one pass finds both."""
+    lost = unread_day("transaction_date", p.lenient_date("transaction_date"))
+    return silver_rows(
+        raw,
+        patterns,
+        rejected_names(strict_casts()).alias("_rejected"),
+        lost.alias("_lost"),
+        also=lost.isNotNull(),
+    )
 
 
 def require_readable(rows: DataFrame) -> None:
@@ -95,13 +111,10 @@ def require_readable(rows: DataFrame) -> None:
         raise DataLossError(f"texts that could not be read: {sorted((r.name, r['count']) for r in found)}")
 
 
-def require_complete(raw: DataFrame, totals: DataFrame) -> None:
-    """Raise when the declared and kept row counts differ and a raw row that names a
-    real day was left out."""
-    if not totals.agg(F.sum("difference").alias("d")).first().d:
-        return
-    lost = unparsed_dates(raw, "transaction_date", p.lenient_date("transaction_date"))
-    found = lost.agg(F.count(F.lit(1)).alias("n"), F.min("transaction_date").alias("example")).first()
+def require_complete(rows: DataFrame) -> None:
+    """Raise when `_lost` marks a row, whatever the declared totals of its file say:
+    differences of several files, or of a lost and an undeclared row, cancel out."""
+    found = rows.agg(F.count("_lost").alias("n"), F.min("_lost").alias("example")).first()
     if found.n:
         raise DataLossError(f"{found.n} rows with a real date were dropped, such as {found.example}")
 
@@ -112,17 +125,19 @@ def build_silver(
     patterns: Mapping[str, str],
     lookback_days: int | None = None,
     drop_duplicates: bool = False,
+    pattern: str = "*.csv",
+    fallback: str = FALLBACK_CHARSET,
 ) -> Silver:
     """Read, type and classify a folder of exports, written once for all readers."""
-    export = read_exports(spark, folder)
-    audited = stage(silver_rows(export.rows, patterns, rejected_names(strict_casts()).alias("_rejected")), "silver")
+    export = read_exports(spark, folder, pattern, fallback)
+    audited = stage(audited_rows(export.rows, patterns), "silver")
+    require_complete(audited)
     require_readable(audited)
-    rows = audited.drop("_rejected")
+    rows = audited.drop("_rejected", "_lost")
     declared = export.files.filter("accepted").select(
         F.col("source_file").alias("_source_file"), "declared"
     )
     totals = control_totals(rows, declared, "_source_file")
-    require_complete(export.rows, totals)
     if drop_duplicates:
         rows = drop_repeats(rows, "transaction_sk")
     if lookback_days is not None:

@@ -18,12 +18,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgermill.functions.text import SPACE
+from ledgermill.operators.vocabulary import examples
 from ledgermill.scale import attach, stage
 
 DELIMITER = ";"
 FALLBACK_CHARSET = "cp1250"
-HASH_WHOLE_FILE_BYTES = 256 * 1024 * 1024
-RECORD_LINES = 10_000
+HASH_LINES = 10_000
 
 # Marker texts of the header line and of the declared row count.
 HEADER_MARKER = "data transakcji"
@@ -93,8 +93,8 @@ def scan_lines(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Data
 
 def stage_lines(lines: DataFrame) -> DataFrame:
     """The lines written once, with what later steps need to know of each: whether
-    it is UTF-8, holds a marker or an odd number of quotes, and its number of cells
-    (0 for an empty line). All of it is ASCII, so the charset does not matter yet,
+    it is UTF-8, holds a marker, leaves a quoted cell open (if none was open before,
+    and if one was), and its number of cells (0 for an empty line). All of it is ASCII, so the charset does not matter yet,
     and later steps read these few columns instead of the lines."""
     text = _latin(F.col("raw"))
     plain = F.translate(F.lower(text), '":', "")
@@ -104,44 +104,47 @@ def stage_lines(lines: DataFrame) -> DataFrame:
             F.is_valid_utf8("raw").alias("utf8"),
             F.contains(plain, F.lit(HEADER_MARKER)).alias("is_header"),
             F.contains(plain, F.lit(COUNT_MARKER)).alias("is_count"),
-            (_quotes(text) % 2 == 1).alias("odd"),
+            _opens(text).alias("opens"),
+            _stays_open(text).alias("stays"),
             F.when(F.length("raw") == 0, F.lit(0)).otherwise(_width(text)).alias("width"),
         ),
         "lines",
     )
 
 
-def file_hashes(
-    spark: SparkSession,
-    folder: str,
-    lines: DataFrame,
-    pattern: str = "*.csv",
-    whole_file_bytes: int = HASH_WHOLE_FILE_BYTES,
-) -> DataFrame:
-    """(path, hash): SHA-256 of the file's bytes.
+def file_hashes(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
+    """(path, hash): SHA-256 over the SHA-256s of the file's groups of `HASH_LINES` lines.
 
-    A file beyond `whole_file_bytes` is not loaded into one task; its hash,
-    marked `lines:`, is the SHA-256 of its line count and two sums over the
-    digests of its lines, which any number of tasks can share.
+    A group's hash is taken over the hashes of its lines, in order. Lines end at
+    line feeds, so a carriage return counts as content; only a line feed at the
+    very end does not. The definition is the same for every size and every split
+    setting, and no file has to pass through one task.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    path = F.col("_metadata.file_path").alias("path")
-    whole = files.filter(F.col("length") <= whole_file_bytes).select(path, F.sha2("content", 256).alias("hash"))
-    large = files.filter(F.col("length") > whole_file_bytes).select(path)
-    if large.isEmpty():
-        return whole
-    digest = F.sha2("raw", 256)
-
-    def part(start: int) -> Column:
-        return F.sum(F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(38,0)")).cast("string")
-
-    summed = (
-        attach(lines, large.withColumn("_large", F.lit(True)), ["path"], "inner", spread=["block", "seq"])
-        .groupBy("path")
-        .agg(F.count(F.lit(1)).cast("string").alias("n"), part(1).alias("p"), part(16).alias("q"))
-        .select("path", F.concat(F.lit("lines:"), F.sha2(F.concat_ws("~", "n", "p", "q"), 256)).alias("hash"))
+    scanned = spark.read.option("pathGlobFilter", pattern).option("lineSep", "\n").text(folder)
+    lines = stage(
+        scanned.select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("seq"),
+            F.sha2(F.col("value").cast("binary"), 256).alias("digest"),
+        ),
+        "line-digests",
+    )
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("path", "block").agg(F.count(F.lit(1)).alias("n"))
+    splits = splits.select("path", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("path", "block").orderBy("seq"))
+    numbered = lines.withColumn("at", within - 1).join(splits, ["path", "block"])
+    number = F.col("before") + F.col("at")
+
+    def in_order(at: Column, digest: str) -> Column:
+        listed = F.array_sort(F.collect_list(F.struct(at.alias("at"), F.col(digest).alias("digest"))))
+        return F.sha2(F.array_join(listed["digest"], ""), 256)
+
+    groups = numbered.groupBy("path", F.floor(number / HASH_LINES).alias("group")).agg(
+        in_order(number, "digest").alias("digest")
     )
-    return whole.unionByName(summed)
+    return groups.groupBy("path").agg(in_order(F.col("group"), "digest").alias("hash"))
 
 
 def _latin(raw: Column) -> Column:
@@ -223,6 +226,7 @@ def profile_files(lines: DataFrame, fallback: str = FALLBACK_CHARSET) -> DataFra
         *[F.coalesce(F.array_position("names", F.lit(h)), F.lit(0)).cast("int") for h in COLUMN_OF_HEADER]
     )
     required = [h for h, c in COLUMN_OF_HEADER.items() if c not in OPTIONAL_COLUMNS]
+    optional = [h for h, c in COLUMN_OF_HEADER.items() if c in OPTIONAL_COLUMNS]
     return named.select(
         "path",
         "source_file",
@@ -231,18 +235,36 @@ def profile_files(lines: DataFrame, fallback: str = FALLBACK_CHARSET) -> DataFra
         "names",
         positions.alias("positions"),
         F.array_except(F.array(*map(F.lit, required)), "names").alias("missing"),
+        F.array_except(F.array(*map(F.lit, optional)), "names").alias("absent"),
         "declared_text",
         F.trim("declared_text").try_cast("bigint").alias("declared"),
     )
 
 
-def _quotes(text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
+_TO_CLOSING = f'(?:[^"]|"")*+"(?=[ \\t\\r]*(?:{DELIMITER}|$))'
+
+
+def _bare(text: Column) -> Column:
+    """The text without its complete quoted cells. A quote opens a cell only as its first
+    character and closes it only as its last; two quotes within it stand for one. A
+    cell with a lone quote inside never closes, so its file is rejected, not guessed at."""
+    return F.regexp_replace(text, f'(?<![^{DELIMITER}])"{_TO_CLOSING}', "")
+
+
+def _opens(text: Column) -> Column:
+    """Whether a line that begins outside quotes ends inside a quoted cell."""
+    return _bare(text).rlike(f'(?<![^{DELIMITER}])"')
+
+
+def _stays_open(text: Column) -> Column:
+    """Whether a line that begins inside a quoted cell ends inside one."""
+    rest = F.regexp_replace(text, f"^{_TO_CLOSING}", "x")  # what follows the closing quote is no start of a cell
+    return F.when(text.rlike(f"^{_TO_CLOSING}"), _opens(rest)).otherwise(F.lit(True))
 
 
 def _width(text: Column) -> Column:
-    """Number of cells, not counting delimiters inside quotes."""
-    return F.regexp_count(F.regexp_replace(text, '"[^"]*"', ""), F.lit(DELIMITER)) + 1
+    """Number of cells, not counting delimiters inside quoted cells."""
+    return F.regexp_count(_bare(text), F.lit(DELIMITER)) + 1
 
 
 def body_lines(lines: DataFrame, heads: DataFrame) -> DataFrame:
@@ -252,67 +274,91 @@ def body_lines(lines: DataFrame, heads: DataFrame) -> DataFrame:
     return joined.filter((F.struct("block", "seq") > F.col("header_at")) & (F.col("width") > 0)).drop("header_at")
 
 
-def join_broken_records(lines: DataFrame) -> DataFrame:
-    """(path, block, seq, line, n_lines, closed): records whose quoted cells span lines.
+def _inside_before(rows: DataFrame, within: list[str], order: str) -> DataFrame:
+    """`rows` with `fixed`, whether a quote is open before each row if an earlier row of
+    its group settles that (else NULL), and `flips`, how often the state turned since.
 
-    Whether a quote is open at a line is the parity of the quotes before it. It is
-    summed per split first, then over the splits of a file, then within each
-    split, so no file has to pass through one task. `closed` is false where the
-    file ends inside a quote.
+    Each row has `opens` and `stays`: the state after it from either state before.
+    Rows where both agree settle the state, rows where they contradict turn it.
     """
-    lines = lines.withColumn("quotes", _quotes(F.col("line")))
-    splits = lines.groupBy("path", "block").agg(F.sum("quotes").alias("n"))
-    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("path")
-    splits = splits.select(
-        "path",
-        "block",
-        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
-        (F.sum("n").over(whole) % 2 == 0).alias("closed"),
+    settles, turns = F.col("opens") == F.col("stays"), F.col("opens") & ~F.col("stays")
+    so_far = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    counted = rows.withColumn("_turns", F.sum(turns.cast("long")).over(so_far))
+    last = F.last(F.when(settles, F.struct("opens", "_turns")), ignorenulls=True).over(earlier)
+    before = F.coalesce(F.max("_turns").over(earlier), F.lit(0))
+    return counted.select(
+        *rows.columns,
+        last["opens"].alias("fixed"),
+        (before - F.coalesce(last["_turns"], F.lit(0))).alias("flips"),
     )
-    inside = Window.partitionBy("path", "block").orderBy("seq")
-    before = F.col("before") + F.coalesce(
-        F.sum("quotes").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+
+
+def _turned(state: Column, flips: Column) -> Column:
+    return state != (flips % 2 == 1)
+
+
+def quote_states(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lines with `inside`, whether a quoted cell is open before them, and (path,
+    closed) of the files: whether none is open at their end.
+
+    The state is found within each split, then over the splits of a file, so no
+    file has to pass through one task.
+    """
+    known = _inside_before(lines, ["path", "block"], "seq")
+    after = F.when(F.col("opens") == F.col("stays"), F.col("opens"))
+    turns = (F.col("opens") & ~F.col("stays")).cast("long")
+    ends = known.groupBy("path", "block").agg(
+        F.max_by(F.struct(F.coalesce(after, _turned(F.col("fixed"), F.col("flips") + turns)).alias("state")), "seq")["state"].alias("settled"),
+        F.max_by(F.col("flips") + turns, "seq").alias("turned"),
+    )
+    # A split is a line writ large: the state after it from either state before.
+    odd = F.col("turned") % 2 == 1
+    splits = ends.select(
+        "path", "block", F.coalesce("settled", odd).alias("opens"), F.coalesce("settled", ~odd).alias("stays")
     )
-    opened = lines.join(splits, ["path", "block"]).withColumn("starts", before % 2 == 0)
-    start_at = F.when(F.col("starts"), F.struct("block", "seq"))
-    opened = opened.withColumn("start", F.max(start_at).over(inside))
+    splits = _inside_before(splits, ["path"], "block")
+    splits = splits.withColumn("begins", _turned(F.coalesce("fixed", F.lit(False)), F.col("flips")))
+    ended = F.when(F.col("begins"), F.col("stays")).otherwise(F.col("opens"))
+    files = splits.groupBy("path").agg((~F.max_by(ended, "block")).alias("closed"))
+    begins = splits.select("path", "block", "begins")
+    inside = _turned(F.coalesce("fixed", "begins"), F.col("flips"))
+    return known.join(begins, ["path", "block"]).withColumn("inside", inside).drop("fixed", "flips", "begins"), files
+
+
+def join_broken_records(lines: DataFrame) -> DataFrame:
+    """(path, block, seq, line): the records of lines that carry `inside`, where quoted
+    cells may span lines. Only lines of one record meet."""
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    in_split = Window.partitionBy("path", "block").orderBy("seq")
+    start_at = F.when(~F.col("inside"), F.struct("block", "seq"))
+    opened = lines.withColumn("start", F.max(start_at).over(in_split))
     # A record may begin in an earlier split than the one its line is in.
     last_start = opened.groupBy("path", "block").agg(F.max("start").alias("last"))
     carried = last_start.select("path", "block", F.max("last").over(earlier).alias("carried"))
     opened = opened.join(carried, ["path", "block"]).withColumn("start", F.coalesce("start", "carried"))
-
-    sizes = opened.groupBy("path", "start").agg(F.count(F.lit(1)).alias("n_lines"))
-    part = F.when(F.col("n_lines") <= RECORD_LINES, F.struct("block", "seq", "line"))
-    records = opened.join(sizes, ["path", "start"]).groupBy("path", "start", "n_lines", "closed")
-    return records.agg(F.array_sort(F.collect_list(part)).alias("parts")).select(
-        "path",
-        "start.block",
-        "start.seq",
-        F.array_join(F.col("parts.line"), "\n").alias("line"),
-        "n_lines",
-        "closed",
+    records = opened.groupBy("path", "start")
+    return records.agg(F.array_sort(F.collect_list(F.struct("block", "seq", "line"))).alias("parts")).select(
+        "path", "start.block", "start.seq", F.array_join(F.col("parts.line"), "\n").alias("line")
     )
 
 
 def shaped_files(lines: DataFrame) -> DataFrame:
     """(path, width, broken) of the body lines: the most cells in a line, and
-    whether any line has an odd number of quotes, so that a cell spans lines."""
-    return lines.groupBy("path").agg(F.max("width").alias("width"), F.bool_or("odd").alias("broken"))
-
+    whether any line leaves a quoted cell open, so that a cell spans lines."""
+    return lines.groupBy("path").agg(F.max("width").alias("width"), F.bool_or("opens").alias("broken"))
 
-def repaired_records(lines: DataFrame, fallback: str = FALLBACK_CHARSET) -> DataFrame:
-    """(path, block, seq, line, width, whole) of the body lines of broken files.
 
-    `whole` is false for a record left open at the end of its file, or longer
-    than any real record, both signs of a stray quote.
-    """
+def repaired_records(lines: DataFrame, fallback: str = FALLBACK_CHARSET) -> tuple[DataFrame, DataFrame]:
+    """(path, block, seq, line, width) of the body lines of broken files, and (path) of
+    those that end inside a quoted cell, the sign of a stray quote. Of these no record
+    is put together, as the last one could be most of the file."""
+    known, files = quote_states(lines.select("path", "block", "seq", "opens", "stays", "raw", "charset"))
+    known, files = stage(known, "quote-states"), stage(files, "quoted-files")
+    whole = attach(known, files.filter("closed").select("path"), ["path"], "inner", spread=["block", "seq"])
     line = decode(F.col("raw"), F.col("charset"), fallback).alias("line")
-    joined = join_broken_records(lines.select("path", "block", "seq", line))
-    whole = F.col("closed") & (F.col("n_lines") <= RECORD_LINES)
-    return joined.select(
-        "path", "block", "seq", "line", _width(F.col("line")).alias("width"), whole.alias("whole")
-    )
+    joined = join_broken_records(whole.select("path", "block", "seq", "inside", line))
+    return joined.withColumn("width", _width(F.col("line"))), files.filter("not closed").select("path")
 
 
 def judge_files(profile: DataFrame, shapes: DataFrame) -> DataFrame:
@@ -373,15 +419,16 @@ def parse_lines(
     repaired = None
     if not broken.isEmpty():
         tagged = attach(body, broken, ["path"], "inner", spread=["block", "seq"])
-        repaired = stage(repaired_records(tagged, fallback), "repaired-records")
+        repaired, unclosed = repaired_records(tagged, fallback)
+        repaired = stage(repaired, "repaired-records")
         sound = sound.unionByName(
-            repaired.groupBy("path").agg(F.max("width").alias("width"), F.bool_and("whole").alias("whole"))
-        )
+            repaired.groupBy("path").agg(F.max("width").alias("width"), F.lit(True).alias("whole"))
+        ).unionByName(unclosed.select("path", F.lit(None).cast("int").alias("width"), F.lit(False).alias("whole")))
     files = stage(judge_files(profile, sound), "files")
     accepted = files.filter("accepted")
     if accepted.isEmpty():
-        reasons = [f"{r.source_file}: {r.reason}" for r in files.select("source_file", "reason").limit(20).collect()]
-        raise IngestError(f"every file was rejected: {reasons}")
+        named = files.select(F.concat_ws(": ", "source_file", "reason").alias("reason"))
+        raise IngestError(f"every file was rejected: {examples(named, named.count())}")
 
     hashes = accepted.select("path", F.lit(None).cast("string").alias("hash")) if hashes is None else hashes
     layout = accepted.join(hashes, "path", "left").select(
@@ -407,5 +454,5 @@ def read_exports(
     without a single line has nothing to list and is passed over.
     """
     lines = scan_lines(spark, folder, pattern)
-    hashes = file_hashes(spark, folder, lines, pattern)
+    hashes = file_hashes(spark, folder, pattern)
     return parse_lines(lines, hashes, fallback)

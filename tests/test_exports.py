@@ -59,7 +59,7 @@ def test_reads_files_of_both_charsets_and_column_orders(spark, tmp_path):
     c = [r for r in rows if r._source_file == "c.csv"][0]
     assert (c.transaction_date, c.transaction_currency, c.blocked_currency) == ("2025-03-01", "PLN", "EUR")
     assert c.balance_after_transaction is None and c.balance_currency == "GBP"
-    assert {r._hash for r in rows if r._source_file == "a.csv"} == {hashlib.sha256(first).hexdigest()}
+    assert {r._hash for r in rows if r._source_file == "a.csv"} == {file_hash(first)}
     assert read.quarantine().count() == 0
 
 
@@ -70,7 +70,7 @@ def test_rejects_each_unusable_file_with_its_reason(spark, tmp_path):
     write(tmp_path, "badcount.csv", export(JANUARY, count='"8"'))
     write(tmp_path, "missing.csv", export(JANUARY, header=HEADER.replace('"Tytuł"', '"Inny"')))
     write(tmp_path, "wide.csv", export([*JANUARY, row("2025-01-01") + ";x"]))
-    write(tmp_path, "quote.csv", export([*JANUARY, row("2025-01-01", 'open " quote')]))
+    write(tmp_path, "quote.csv", export([*JANUARY, row("2025-01-01").replace('"Bank"', '"open')]))
     write(tmp_path, "empty.csv", "")
     read = exports.read_exports(spark, str(tmp_path))
     assert {r.source_file: r.reason for r in read.quarantine().collect()} == {
@@ -122,17 +122,55 @@ def test_records_join_across_splits(spark, tmp_path):
     }
 
 
-def test_large_files_get_a_line_digest(spark, tmp_path):
-    raw = write(tmp_path, "small.csv", export(JANUARY[:1]))
-    write(tmp_path, "large.csv", export(JANUARY * 4))
-    write(tmp_path, "other.csv", export([*JANUARY * 3, *FEBRUARY]))
-    lines = exports.scan_lines(spark, str(tmp_path))
-    hashes = exports.file_hashes(spark, str(tmp_path), lines, whole_file_bytes=len(raw))
-    found = {r.path.rsplit("/", 1)[1]: r.hash for r in hashes.collect()}
-    assert found["small.csv"] == hashlib.sha256(raw).hexdigest()
-    assert found["large.csv"].startswith("lines:") and found["large.csv"] != found["other.csv"]
-    again = exports.file_hashes(spark, str(tmp_path), lines.repartition(7), whole_file_bytes=len(raw))
-    assert found == {r.path.rsplit("/", 1)[1]: r.hash for r in again.collect()}
+def file_hash(raw, group=exports.HASH_LINES):
+    digests = [hashlib.sha256(line).hexdigest() for line in raw.removesuffix(b"\n").split(b"\n")]
+    groups = [hashlib.sha256("".join(digests[k : k + group]).encode()).hexdigest() for k in range(0, len(digests), group)]
+    return hashlib.sha256("".join(groups).encode()).hexdigest()
+
+
+def test_one_ordered_hash_at_every_size_and_split(spark, tmp_path, monkeypatch):
+    raw = {
+        "a.csv": write(tmp_path, "a.csv", export(JANUARY[:1])),
+        "b.csv": write(tmp_path, "b.csv", export(JANUARY * 4)),
+        "c.csv": write(tmp_path, "c.csv", export(list(reversed(JANUARY * 4)))),
+        "d.csv": write(tmp_path, "d.csv", export(JANUARY * 4).replace("\n", "\r\n")),
+        "e.csv": write(tmp_path, "e.csv", export(FEBRUARY), "cp1250"),
+    }
+    monkeypatch.setattr(exports, "HASH_LINES", 7)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in (before, "500"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            found = {r.path.rsplit("/", 1)[1]: r.hash for r in exports.file_hashes(spark, str(tmp_path)).collect()}
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert found == {name: file_hash(body, 7) for name, body in raw.items()}
+    assert len(set(found.values())) == 5
+
+
+def test_quotes_count_only_where_they_open_a_cell(spark, tmp_path):
+    inch = row("2025-01-10").replace('"Bank"', '5" rura')
+    twice = row("2025-01-11").replace('"Bank"', '5" x 6" y')
+    write(tmp_path, "a.csv", export([*JANUARY, inch, twice]))
+    wide = row("2025-01-12").replace('"Bank"', 'a" x;6" y')
+    write(tmp_path, "b.csv", export([*JANUARY, wide]))
+    inner = row("2025-01-13").replace('"Bank"', '"rura 5" cal"')
+    write(tmp_path, "c.csv", export([*JANUARY, inner]))
+    read = exports.read_exports(spark, str(tmp_path))
+    rows = {r.transaction_date: r for r in read.rows.collect()}
+    assert rows["2025-01-10"].bank_name == '5" rura' and rows["2025-01-11"].bank_name == '5" x 6" y'
+    assert {r.source_file: r.reason for r in read.quarantine().collect()} == {
+        "b.csv": "a row is wider than the header", "c.csv": "unbalanced quotes",
+    }
+    line = spark.createDataFrame([('a;5" x;6" y;b',), ('"a;b";c',), ('"a""b;c";d;"e',)], "line string")
+    assert [r[0] for r in line.select(exports._width(F.col("line"))).collect()] == [4, 2, 3]
+
+
+def test_a_record_of_very_many_lines_is_kept(spark, tmp_path):
+    cell = "\n".join(f"linia {k}" for k in range(10_500))
+    write(tmp_path, "a.csv", export([*JANUARY, row("2025-01-10", cell), row("2025-01-11", "Po")]))
+    rows = {r.transaction_date: r for r in exports.read_exports(spark, str(tmp_path)).rows.collect()}
+    assert rows["2025-01-10"].counterparty_details == cell and rows["2025-01-11"].counterparty_details == "Po"
 
 
 def test_no_usable_file_is_an_error(spark, tmp_path):
