@@ -522,7 +522,7 @@ def csv_by_year(spark, sf_dir):
 @query
 def single_file_tables(spark, sf_dir):
     folder = _new_folder(spark)
-    write_table(read(spark, sf_dir, "part"), folder, "parquet")
+    write_table(read(spark, sf_dir, "part"), folder, "parquet", single_file=True)
     back = spark.read.parquet(folder).select("p_type", F.col("_metadata.file_name").alias("file"))
     return back.groupBy("p_type").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("file").cast("int").alias("files")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.similarity import char_masks, indel_ratio, lcs_length, percent
 from ledgermill.functions.text import blank_tokens, word_tokens
-from ledgermill.scale import BROADCAST_ROWS, attach, bounded_arrow, fits_broadcast, spread_join, stage
+from ledgermill.scale import BROADCAST_BYTES, attach, bounded_arrow, spread_join, stage
 
 CUTOFF = 80
 VOCABULARY_ROWS = 10_000
@@ -34,8 +34,9 @@ PIECE_ROWS = 50_000
 class Keywords:
     """A vocabulary (keyword, pos), its longest keyword and how to join it.
 
-    Up to `VOCABULARY_ROWS` rows it is held as a literal table and broadcast;
-    beyond that every join with it is left to Spark's own choice.
+    Up to `VOCABULARY_ROWS` rows, and while what is made from it stays within
+    `BROADCAST_BYTES`, it is held as a literal table and broadcast; beyond that
+    it is joined by shuffle, with every key spread.
     """
 
     frame: DataFrame
@@ -49,8 +50,11 @@ class Keywords:
         listed = vocabulary.select("keyword", F.col("pos").cast("bigint").alias("pos"))
         table = bounded_arrow(listed, VOCABULARY_ROWS)
         if table is not None:
-            longest = max(map(len, table["keyword"].to_pylist()), default=0)
-            return cls(listed.sparkSession.createDataFrame(table, listed.schema), True, longest)
+            lengths = [len(k) for k in table["keyword"].to_pylist()]
+            # Tables made from it repeat a keyword's tokens or pieces for each of its characters at most.
+            small = 8 * sum(n * n for n in lengths) <= BROADCAST_BYTES
+            frame = listed.sparkSession.createDataFrame(table, listed.schema)
+            return cls(frame, small, max(lengths, default=0))
         listed = stage(listed, "vocabulary")
         longest = listed.agg(F.max(F.length("keyword")).alias("m")).first().m
         return cls(listed, False, longest)
@@ -232,8 +236,8 @@ def token_set_join(tokens: DataFrame, vocabulary: DataFrame | Keywords, cutoff:
 
 
 def token_hits(tokens: DataFrame, vocabulary: DataFrame | Keywords, cutoff: int = CUTOFF) -> DataFrame:
-    """(text_id, token_at, keyword, pos, score): per word of each `tokenise`d text, its
-    closest keyword.
+    """(text_id, token_at, keyword, pos, score): per distinct word of each `tokenise`d text,
+    at its first place, its closest keyword.
 
     Every distinct word is scored once and the few that match are joined back.
     """
@@ -241,8 +245,6 @@ def token_hits(tokens: DataFrame, vocabulary: DataFrame | Keywords, cutoff: int
     scored = ratio_join(words.select("string").distinct(), vocabulary, cutoff)
     closest = scored.groupBy("string").agg(F.max_by(F.struct("keyword", "pos", "score"), _rank(())).alias("best"))
     closest = stage(closest.select("string", "best.*"), "matching-words")
-    if fits_broadcast(closest, BROADCAST_ROWS):
-        return words.join(F.broadcast(closest), "string").drop("string")
     # One copy of a word per text is enough, and its first place decides ties.
     firsts = words.groupBy("text_id", "string").agg(F.min("token_at").alias("token_at"))
     return attach(firsts, closest, ["string"], "inner", spread=["text_id"]).drop("string")

@@ -18,7 +18,7 @@ from ledgermill.operators.matching import (
     tokenise,
 )
 from ledgermill.operators.vocabulary import UNCLASSIFIED, UNCLASSIFIED_KEY
-from ledgermill.scale import attach, small_copy, stage
+from ledgermill.scale import attach, fits_broadcast, small_copy, stage
 
 
 def canonical_name(raw: Column, keyword: Column) -> Column:
@@ -35,18 +35,26 @@ def add_canonical(
     cutoff: int = CUTOFF,
 ) -> DataFrame:
     """Adds the canonical name of `column`, empty for NULL and empty texts."""
-    tokens = tokenise(distinct_texts(rows, [column]))
-    hits = stage(best_names(tokens, candidates, cutoff), "names")
-    named = attach_hits(rows, column, hits.select("text_id", "keyword"), "_name", spread)
-    return named.withColumn(output, canonical_name(F.col(column), F.col("_name.keyword"))).drop("_name")
+    texts = stage(distinct_texts(rows, [column]), "texts")
+    names = best_names(tokenise(texts), candidates, cutoff)
+    hits = stage(_named(texts, names).select("text_id", "canonical"), "names")
+    named = attach_hits(rows, column, hits, "_name", spread)
+    return named.withColumn(output, F.coalesce("_name.canonical", F.lit(""))).drop("_name")
+
+
+def _named(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """(text_id, canonical): every distinct text with its name, cleaned here once."""
+    found = texts.join(names.select("text_id", "keyword"), "text_id", "left")
+    return found.select("text_id", canonical_name(F.col("text"), F.col("keyword")).alias("canonical"))
 
 
 def attach_hits(
-    rows: DataFrame, column: str, hits: DataFrame, output: str, spread: Sequence[str] = ()
+    rows: DataFrame, column: str, hits: DataFrame, output: str, spread: Sequence[str] = (), fits: bool | None = None
 ) -> DataFrame:
-    """Adds the struct `output` of what `hits` has for the text in `column`."""
+    """Adds the struct `output` of what `hits` has for the text in `column`; `fits` tells
+    whether `hits` may be broadcast, if it was measured before."""
     found = hits.select(F.col("text_id").alias("_text_id"), F.struct(*hits.drop("text_id").columns).alias(output))
-    return attach(rows.withColumn("_text_id", text_key(F.col(column))), found, ["_text_id"], spread=spread).drop(
+    return attach(rows.withColumn("_text_id", text_key(F.col(column))), found, ["_text_id"], spread=spread, fits=fits).drop(
         "_text_id"
     )
 
@@ -83,8 +91,9 @@ def add_category(
     higher, the first one on ties; rows without a match are Unclassified."""
     tokens = tokenise(distinct_texts(rows, [first, second]))
     hits = stage(_labelled(best_keywords(tokens, labels, cutoff), labels), "categories")
-    out = attach_hits(rows, first, hits, "_first", spread)
-    out = attach_hits(out, second, hits, "_second", spread)
+    fits = fits_broadcast(hits)
+    out = attach_hits(rows, first, hits, "_first", spread, fits)
+    out = attach_hits(out, second, hits, "_second", spread, fits)
     return _categories(out, better_of("_first", "_second")).drop("_first", "_second")
 
 
@@ -100,19 +109,19 @@ def add_canonical_and_category(
 ) -> DataFrame:
     """`add_canonical` of `party` and `add_category` of both columns in one pass:
     texts are split once and compared once, as the name candidates include every keyword."""
-    tokens = tokenise(distinct_texts(rows, [party, description]))
+    texts = stage(distinct_texts(rows, [party, description]), "texts")
+    tokens = tokenise(texts)
     labels = small_copy(labels)
     whole = stage(token_set_join(tokens, candidates, cutoff), "whole-text-scores")
     names = best_names(tokens, candidates, cutoff, whole)
     of_keywords = attach(whole.drop("pos"), labels.select("keyword", "pos"), ["keyword"], "inner")
     best = _labelled(best_keywords(tokens, labels, cutoff, of_keywords), labels)
-    named = names.select("text_id", F.col("keyword").alias("name"))
-    hits = stage(best.join(named, "text_id", "full"), "text-hits")
-    out = attach_hits(rows, party, hits, "_party", spread)
-    out = attach_hits(out, description, hits, "_description", spread)
+    hits = stage(_named(texts, names).join(best, "text_id", "left"), "text-hits")
+    fits = fits_broadcast(hits)
+    out = attach_hits(rows, party, hits, "_party", spread, fits)
+    out = attach_hits(out, description, hits, "_description", spread, fits)
     out = _categories(out, better_of("_party", "_description"))
-    canonical = canonical_name(F.col(party), F.col("_party.name"))
-    return out.withColumn(output, canonical).drop("_party", "_description")
+    return out.withColumn(output, F.coalesce("_party.canonical", F.lit(""))).drop("_party", "_description")
 
 
 def category_map(rows: DataFrame, dim_category: DataFrame, key: str = "transaction_sk") -> DataFrame:

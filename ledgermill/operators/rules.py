@@ -45,6 +45,17 @@ INCOME_SOURCES = {
 }
 
 
+PENDING = "pending"
+
+
+def income_source(event_type: Column) -> Column:
+    """The source an income event reports; NULL for every other event."""
+    sources = F.lit(None).cast("string")
+    for event, source in INCOME_SOURCES.items():
+        sources = F.when(event_type == event, F.lit(source)).otherwise(sources)
+    return sources
+
+
 def classify(rules: Sequence[Rule], otherwise: str) -> Column:
     """Label of the first matching rule. A NULL condition does not match."""
     (label, condition), *rest = rules

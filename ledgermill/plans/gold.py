@@ -26,20 +26,12 @@ from ledgermill.operators.vocabulary import (
 )
 from ledgermill.scale import small_copy, stage
 
-# Names always known to the canonical-name matcher.
-NAME_ALIASES = [
-    "aldi technology support",
-    "manda konsulting",
-    "joanna kolodzinska",
-    "ing bank śląski",
-]
-
 
 def enrich(
     silver: DataFrame,
     taxonomy: DataFrame,
     training: DataFrame,
-    aliases: Sequence[str] = NAME_ALIASES,
+    aliases: Sequence[str] = (),
     spread: Sequence[str] = ("_line_block", "_line_seq"),
 ) -> DataFrame:
     """Silver rows with canonical name, category and all surrogate keys.
@@ -76,7 +68,7 @@ def build_gold(
     silver: DataFrame,
     categories: Mapping[str, Sequence[str]],
     training: Mapping[str, Sequence[str]],
-    aliases: Sequence[str] = NAME_ALIASES,
+    aliases: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
     """The two facts and four dimensions by name."""
     spark = silver.sparkSession

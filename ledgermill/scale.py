@@ -61,6 +61,17 @@ def discard(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Put the folder `path` in the place of `to`, which it replaces."""
+    conf = spark._jsc.hadoopConfiguration()
+    source, target = spark._jvm.org.apache.hadoop.fs.Path(path), spark._jvm.org.apache.hadoop.fs.Path(to)
+    storage = target.getFileSystem(conf)
+    storage.delete(target, True)
+    storage.mkdirs(target.getParent())
+    if not storage.rename(source, target):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
 class Scratch:
     """Staged tables that are deleted together when the block that made them ends.
 
@@ -139,11 +150,12 @@ def attach(
     how: str = "left",
     spread: Sequence[str | Column] = (),
     limit: int = BROADCAST_ROWS,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Join `rows` to `table`, which has at most one row per key `on`.
 
     A table within `limit` rows and `BROADCAST_BYTES` is broadcast and `rows` stay
-    where they are.
+    where they are; `fits` tells the outcome if it was measured before.
     A larger one is joined by shuffle, with the hot keys of `rows` salted:
     keys holding more than 1/`HOT_SHARE` of all rows, hence fewer than
     `HOT_SHARE` of them, are replicated `SALTS` times on the table side.
@@ -153,7 +165,7 @@ def attach(
     on = list(on)
     if how not in ("left", "inner"):
         raise ValueError(f"attach supports left and inner joins, not {how}")
-    if fits_broadcast(table, limit):
+    if fits_broadcast(table, limit) if fits is None else fits:
         return rows.join(F.broadcast(table), on, how)
     if not spread:
         return rows.join(table, on, how)

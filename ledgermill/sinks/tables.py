@@ -4,10 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ledgermill.scale import fits_broadcast
-
 FORMATS = ["parquet", "csv", "delta"]
-SINGLE_FILE_ROWS = 1_000_000
 
 
 class SinkError(ValueError):
@@ -20,20 +17,23 @@ def write_table(
     fmt: str = "parquet",
     partition_by: str | None = None,
     mode: str = "overwrite",
+    single_file: bool = False,
 ) -> None:
     """Write one table.
 
     A partitioned table is rebalanced by its partition column first: each
     partition value gets few files, and a value holding much of the data is
-    split over several tasks. An unpartitioned Parquet or CSV table goes to one
-    file while it is small; a larger one keeps its parallel writers.
+    split over several tasks. `single_file` is for tables whose caller knows that
+    they are small: one task writes them, after all tasks have computed them.
     """
     if fmt not in FORMATS:
         raise SinkError(f"unknown format {fmt}; use one of {FORMATS}")
+    if partition_by and single_file:
+        raise SinkError("a partitioned table has a file for each partition at least")
     if partition_by:
         writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by)
-    elif fmt != "delta" and fits_broadcast(df, SINGLE_FILE_ROWS):
-        writer = df.coalesce(1).write
+    elif single_file:
+        writer = df.repartition(1).write
     else:
         writer = df.write
     if fmt == "csv":

@@ -172,6 +172,20 @@ def test_a_lost_row_with_a_real_date_stops_the_run(spark, tmp_path):
         silver.build_silver(spark, str(tmp_path), PATTERNS)
 
 
+def test_losses_that_cancel_out_stop_the_run(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(export([*JANUARY, row("2025-1-10", "Sklep")]))
+    (tmp_path / "b.csv").write_text(export(FEBRUARY, count=7))
+    with pytest.raises(silver.DataLossError, match="1 rows .* 2025-1-10"):
+        silver.build_silver(spark, str(tmp_path), PATTERNS)
+
+
+@pytest.mark.parametrize("space", ["\t", "\u00a0", "\u2003 "])
+def test_a_real_date_between_any_white_space_is_not_lost(spark, tmp_path, space):
+    (tmp_path / "a.csv").write_text(export([*JANUARY, row(f"{space}2025-01-10{space}", "Sklep")]), encoding="utf-8")
+    with pytest.raises(silver.DataLossError, match="2025-01-10"):
+        silver.build_silver(spark, str(tmp_path), PATTERNS)
+
+
 def test_a_count_that_is_too_high_is_only_reported(spark, tmp_path):
     (tmp_path / "a.csv").write_text(export(JANUARY, count=10))
     built = silver.build_silver(spark, str(tmp_path), PATTERNS)
@@ -236,6 +250,37 @@ def test_report_is_in_date_order_and_appends(spark, tables, tmp_path):
     assert back.count() == 14 and back.columns == report.columns
 
 
+def test_a_failed_gate_leaves_what_was_published(spark, tables, built, tmp_path):
+    out = tmp_path / "out"
+    publish.publish(tables, built.rows, str(out))
+    before = sorted(p.name for p in out.rglob("*"))
+    broken = {**tables, "dim_date": tables["dim_date"].filter("year = 2024")}
+    with pytest.raises(quality.DataQualityError) as error:
+        publish.publish(broken, built.rows, str(out))
+    assert {check.check_name for check in error.value.failures} >= {"fact_expenses.date_sk in dim_date"}
+    assert sorted(p.name for p in out.rglob("*")) == before and [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
+def test_run_returns_and_logs_rejected_files(spark, tmp_path, caplog):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "good.txt").write_bytes(export(JANUARY, count=9).encode("iso-8859-2"))
+    (raw / "bad.txt").write_text("no header\n")
+    (raw / "other.csv").write_text(export(FEBRUARY))
+    with caplog.at_level("INFO", logger="ledgermill.plans.publish"):
+        done = publish.run(
+            spark, str(raw), str(tmp_path / "out"), PATTERNS, CATEGORIES, TRAINING, pattern="*.txt", fallback="iso-8859-2"
+        )
+    assert {r.source_file: r.reason for r in done.files.collect()} == {
+        "good.txt": None, "bad.txt": "header or row count not found",
+    }
+    assert [r.difference for r in done.totals.collect()] == [1]
+    assert "rejected bad.txt: header or row count not found" in caplog.text
+    assert "good.txt: declared and kept rows differ by 1" in caplog.text and "1 of 2 files accepted" in caplog.text
+    names = {r.counterparty_details for r in done.tables["dim_counterparty"].collect()}
+    assert "zupelnie nieznany" in names
+
+
 def test_run_from_folder_to_tables(spark, folder, tmp_path):
     publish.run(spark, str(folder), str(tmp_path / "out"), PATTERNS, CATEGORIES, TRAINING)
     assert spark.read.parquet(str(tmp_path / "out" / "dim_category")).count() == 10
