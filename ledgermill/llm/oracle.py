@@ -1,3 +1,103 @@
-"""DuckDB SQL for the queries of this subpackage that SQL can express."""
+"""DuckDB SQL for the queries of this subpackage that SQL can express.
 
-ORACLE: dict[str, str] = {}
+The others have none: sampled joins, suffix order, tokenizers, fitted models and
+wrappers are compared with brute force in the tests.
+"""
+
+from __future__ import annotations
+
+from ledgermill.llm import licenses as lic
+from ledgermill.llm import line_quality as lq
+from ledgermill.llm.queries import MIX_POWER
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORD = r"[^\x20\x09-\x0D]+"
+
+_LINES = f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS source, source IS NULL AS no_source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i
+      FROM (SELECT doc_id, regexp_extract_all(text, '{_WORD}') AS ws FROM d)),
+threes AS (SELECT doc_id, i, w || ' ' || lead(w, 1) OVER o || ' ' || lead(w, 2) OVER o AS three
+           FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+again AS (SELECT doc_id, i FROM threes WHERE three IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doc_id, three) > 1),
+repeated AS (SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+             FROM (SELECT doc_id, i + unnest([0, 1, 2]) AS place FROM again) GROUP BY 1),
+words AS (SELECT doc_id, count(*) AS n_words, sum(length(w)) AS word_chars FROM w GROUP BY 1),
+lines AS (SELECT doc_id, source, no_source, text, line, array_to_string(regexp_extract_all(
+            translate(line, '{_UPPER}0123456789', '{_LOWER}0000000000'), '{_WORD}'), ' ') AS norm,
+            list_sum(list_transform(regexp_extract_all(line, '{_WORD}'), lambda x: length(x))) AS chars
+          FROM (SELECT *, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{_WORD}')),
+dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY 1),
+hosts AS (SELECT source, no_source, count(DISTINCT text) AS texts FROM d GROUP BY ALL),
+common AS (SELECT source, no_source, norm FROM (SELECT source, no_source, norm, count(DISTINCT text) AS docs FROM lines GROUP BY ALL)
+           JOIN hosts USING (source, no_source) WHERE docs > {lq.LINE_DOCS} AND docs > texts * {lq.LINE_SHARE}),
+kept AS (SELECT l.doc_id, sum(l.chars) AS left_chars FROM lines l ANTI JOIN common c
+         ON l.source = c.source AND l.no_source = c.no_source AND l.norm = c.norm GROUP BY 1),
+base AS (SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+           length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+           coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+           coalesce(left_chars, 0) AS left_chars
+         FROM d LEFT JOIN words USING (doc_id) LEFT JOIN repeated USING (doc_id) LEFT JOIN dups USING (doc_id)
+         LEFT JOIN kept USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < {lq.LEAST_WORDS} OR n_repeat_words * 100 > n_words * {lq.REPEAT_PERCENT} AS base_failed,
+  NOT (n_words < {lq.LEAST_WORDS} OR n_repeat_words * 100 > n_words * {lq.REPEAT_PERCENT})
+    AND left_chars >= word_chars * {lq.LEFT_SHARE} AS kept
+FROM base"""
+
+_EVERY = lic.PHRASES + lic.TEMPLATES
+_BASE = len(lic.PHRASES)
+_VALUES = ", ".join(f"({k}, '{text}', '{label}')" for k, (text, label) in enumerate(_EVERY))
+
+_LICENSES = f"""
+WITH t(template, words, label) AS (SELECT k, string_split(x, ' '), l FROM (VALUES {_VALUES}) v(k, x, l)),
+sized AS (SELECT *, greatest(1, len(words) - {lic.GRAM - 1}) AS windows, len(words) < {lic.GRAM} AS two FROM t),
+grams AS (SELECT template, pos, words[pos + 1] AS w1, words[pos + 2] AS w2, CASE WHEN NOT two THEN words[pos + 3] END AS w3
+          FROM (SELECT *, unnest(range(windows)) AS pos FROM sized)),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+each AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS place FROM d),
+three AS (SELECT doc_id, place, w, lead(w, 1) OVER o AS second, lead(w, 2) OVER o AS third
+          FROM each WINDOW o AS (PARTITION BY doc_id ORDER BY place)),
+hits AS (SELECT doc_id, template, pos, place FROM three JOIN grams ON w = w1 AND second = w2 AND (w3 IS NULL OR third = w3)),
+votes AS (SELECT doc_id, template, place - pos AS diagonal, count(DISTINCT pos) AS votes, min(place) AS low, max(place) AS high
+          FROM hits GROUP BY ALL),
+cuts AS (SELECT *, CASE WHEN template >= {_BASE} AND diagonal - lag(diagonal) OVER o <= {lic.DRIFT}
+           AND low - lag(high) OVER o <= {lic.NEAR_WORDS} AND lag(low) OVER o - high <= {lic.NEAR_WORDS} THEN 0 ELSE 1 END AS new
+         FROM votes WINDOW o AS (PARTITION BY doc_id, template ORDER BY diagonal)),
+merged AS (SELECT doc_id, template, sum(votes) AS votes, min(low) AS low, max(high) AS high FROM (
+             SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM cuts)
+           GROUP BY doc_id, template, span),
+spans AS (SELECT doc_id, template, low, label, least(votes / windows, 1.0) AS cover,
+            template < {_BASE} AS is_base, template >= {_BASE} AND least(votes / windows, 1.0) >= {lic.COVER}
+              AND high - low + 1 <= windows * {lic.LONGER} AS is_match
+          FROM merged JOIN sized USING (template)),
+found AS (SELECT doc_id, count(*) FILTER (WHERE is_base) AS n_base, min(low) FILTER (WHERE is_base) AS first_word,
+            max(low) FILTER (WHERE is_base) AS last_word,
+            string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE is_base) AS base_labels,
+            string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE is_base OR is_match) AS labels,
+            max(CASE WHEN is_base THEN 1.0 ELSE cover END) AS score
+          FROM spans GROUP BY 1)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN found USING (doc_id)"""
+
+_MIX = f"""
+WITH sizes AS (SELECT coalesce('=' || source, 'null') AS s, CAST(coalesce(sum(strlen(text)), 0) AS DOUBLE) AS bytes
+               FROM documents GROUP BY 1),
+totals AS (SELECT sum(bytes) AS total, sum(CASE WHEN bytes > 0 THEN pow(bytes, {MIX_POWER}) ELSE 0 END) AS weights FROM sizes),
+rates AS (SELECT s, CASE WHEN bytes > 0 THEN total * pow(bytes, {MIX_POWER}) / weights / bytes ELSE 1.0 END AS rate
+          FROM sizes, totals),
+steps AS (SELECT s, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY s ORDER BY k) AS reached
+          FROM rates, (SELECT unnest(range(0, 200)) AS k)),
+tables AS (SELECT s, list(reached) AS steps FROM steps GROUP BY 1),
+counted AS (SELECT d.*, len(list_filter(steps, lambda x: x <= CAST('0x' || substr(md5(
+              'mix|1|' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) / 4503599627370496.0)) AS n
+            FROM documents d JOIN tables ON coalesce('=' || source, 'null') = s)
+SELECT * EXCLUDE (n), CAST(unnest(range(1, n + 1)) AS INTEGER) AS copy FROM counted"""
+
+ORACLE: dict[str, str] = {
+    "op5_line_frequency": _LINES,
+    "op6_license_diagonals": _LICENSES,
+    "op9_poisson_mix": _MIX,
+}
