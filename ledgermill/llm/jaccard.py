@@ -10,8 +10,9 @@ position (minhash), with probability 1 / threshold - 1 a second one, and its
 documents go to the child of their token there. So a pair of similarity equal to
 the threshold meets in one child on average, and a run keeps it with a
 probability that `survival` gives; runs are repeated until the target recall.
-A bucket is brute-forced when it is small, when a split left over half of it
-together, or at `MAX_DEPTH`. Large ones are brute-forced in tiles of bounded size,
+A bucket is brute-forced when it is small, when it is dense (its sampled positions
+hold few different tokens for its size, so a split would keep it together), or at
+`MAX_DEPTH`. Large ones are brute-forced in tiles of bounded size,
 so nothing is dropped and no task gets more than a tile.
 
 Within a tile, pairs are screened by minhash agreement, well below the threshold,
@@ -46,8 +47,9 @@ RECALL = 0.999
 HASHES = 64
 MAX_DEPTH = 8
 SMALL_BUCKET = 32
+DENSE = 0.4  # different tokens per document, below which a bucket is not split any more
 TILE = 256
-PAIRS_AT_ONCE = 1 << 18
+PAIRS_AT_ONCE = 1 << 17
 
 _RANDOM = np.random.default_rng(5)
 _FACTORS = _RANDOM.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -130,26 +132,34 @@ def _leaves(reps: DataFrame, runs: int, threshold: float) -> DataFrame:
     children = F.array(
         *[F.xxhash64(F.lit(run), F.lit(at), F.col("sketch")[at]) for run, at in _root_children(runs, threshold)]
     )
-    level = reps.select("doc_id", F.explode(children).alias("path"), F.lit(None).cast("bigint").alias("above"))
+    level = reps.select("doc_id", F.explode(children).alias("path"))
     found: list[DataFrame] = []
     for depth in range(1, MAX_DEPTH + 1):
         counts = level.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        done = (F.col("n") <= SMALL_BUCKET) | (F.coalesce(F.col("n") * 2 > F.col("above"), F.lit(False)))
-        done = F.lit(True) if depth == MAX_DEPTH else done
-        sized = stage(level.join(counts, "path").select("doc_id", "path", "n", done.alias("leaf")), "paths")
-        found.append(sized.filter("leaf").select(F.col("path").alias("leaf"), "doc_id", "n"))
-        rest = sized.filter("not leaf")
+        sized = stage(level.join(counts, "path"), "paths")
+        small = F.lit(True) if depth == MAX_DEPTH else F.col("n") <= SMALL_BUCKET
+        found.append(sized.filter(small).select(F.col("path").alias("leaf"), "doc_id", "n"))
+        rest = sized.filter(~small)
         if not rest.limit(1).count():
             break
         first = F.pmod(F.xxhash64("path", F.lit(1)), F.lit(HASHES)).cast("int")
         step = 1 + F.pmod(F.xxhash64("path", F.lit(2)), F.lit(HASHES - 1)).cast("int")
         second = F.pmod(first + step, F.lit(HASHES)).cast("int")
+        sampled = stage(
+            rest.join(reps.select("doc_id", "sketch"), "doc_id").select(
+                "doc_id", "path", "n", F.get("sketch", first).alias("one"), F.get("sketch", second).alias("two")
+            ),
+            "sampled",
+        )
+        kinds = sampled.groupBy("path").agg(
+            (F.approx_count_distinct("one") + F.approx_count_distinct("two")).alias("kinds"), F.max("n").alias("n")
+        )
+        dense = stage(kinds.filter(F.col("kinds") <= 2 * DENSE * F.col("n")).select("path"), "dense")
+        found.append(sampled.join(dense, "path", "left_semi").select(F.col("path").alias("leaf"), "doc_id", "n"))
         extra = F.pmod(F.xxhash64("path", F.lit(3)), F.lit(1 << 20)) < int((1 / threshold - 1) * (1 << 20))
-        child = lambda at: F.xxhash64("path", at, F.get("sketch", at))
-        level = rest.join(reps.select("doc_id", "sketch"), "doc_id").select(
-            "doc_id",
-            F.explode(F.when(extra, F.array(child(first), child(second))).otherwise(F.array(child(first)))).alias("path"),
-            F.col("n").alias("above"),
+        one, two = F.xxhash64("path", F.lit(1), "one"), F.xxhash64("path", F.lit(2), "two")
+        level = sampled.join(dense, "path", "left_anti").select(
+            "doc_id", F.explode(F.when(extra, F.array(one, two)).otherwise(F.array(one))).alias("path")
         )
     out = found[0]
     for more in found[1:]:
