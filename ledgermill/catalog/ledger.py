@@ -7,10 +7,12 @@ the comparison SQL both use them, so both sides start from the same texts.
 
 from __future__ import annotations
 
+import codecs
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.scale import widen
+from ledgermill.scale import discard, move, widen
 from ledgermill.sources.exports import BUSINESS_COLUMNS, COLUMN_OF_HEADER, stage_lines
 
 NBSP = " "
@@ -226,3 +228,53 @@ def spark_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source_file AS path", "source_file", "block", "seq", "encode(line, 'UTF-8') AS raw"
     )
     return stage_lines(lines)
+
+
+# Real export files, one per nation: even nations in cp1250, every third one with an empty
+# and an unknown header cell, some descriptions with a delimiter or a line feed in quotes.
+ONE_BYTE = "n_nationkey % 2 = 0"
+MORE_CELLS = "n_nationkey % 3 = 0"
+FILE_DESCRIPTION = """CASE WHEN o_orderkey % 7 = 0 THEN concat('rata; ', c_name)
+    WHEN o_orderkey % 11 = 0 THEN concat('pierwsza', chr(10), 'druga') ELSE description END"""
+FOOTER_TEXT = "Dokument ma charakter informacyjny"
+
+
+def file_lines() -> dict[str, str]:
+    """SQL of the header, count line and row line of a real file; the same in Spark and DuckDB."""
+    header = ";".join(f'"{HEADER_OF_COLUMN[c]}"' for c in BUSINESS_COLUMNS)
+    cells = [f"concat('\"', {c}, '\"')" if c in QUOTED else f"coalesce({c}, '')" for c in BUSINESS_COLUMNS]
+    return {
+        "header": f"concat('{header}', CASE WHEN {MORE_CELLS} THEN ';;\"Uwagi\"' ELSE '' END)",
+        "count": "concat('\"Liczba transakcji:\";', n, ';')",
+        "row": f"concat(concat_ws(';', {', '.join(cells)}), CASE WHEN {MORE_CELLS} THEN ';;uwaga' ELSE '' END)",
+        "footer": f"'{FOOTER_TEXT};'",
+    }
+
+
+def write_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The export files themselves, in the shared folder."""
+    sql = file_lines()
+    orders = spark_orders(spark, sf_dir)
+    raw = orders.selectExpr(
+        "n_nationkey", "o_orderkey", "c_name", *[f"{body} AS {c}" for c, body in raw_columns(SPARK_FUNCTIONS).items()]
+    ).withColumn("description", F.expr(FILE_DESCRIPTION))
+    data = raw.selectExpr("n_nationkey", "1 AS part", "o_orderkey AS seq", f"{sql['row']} AS line")
+    counted = orders.groupBy("n_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    framed = counted.selectExpr(
+        "n_nationkey",
+        f"""inline(array(struct(0 AS part, 0L AS seq, '"Bank";' AS line), struct(0 AS part, 1L AS seq, {sql['count']} AS line),
+            struct(0 AS part, 2L AS seq, {sql['header']} AS line), struct(2 AS part, 0L AS seq, {sql['footer']} AS line)))""",
+    )
+    pairs = [(codecs.decode(bytes([b]), "cp1250", "replace"), chr(b)) for b in range(0x80, 0x100)]
+    known = [(letter, byte) for letter, byte in pairs if letter != "\ufffd"]
+    as_bytes = F.translate("line", "".join(x for x, _ in known), "".join(b for _, b in known))
+    line = F.when(F.expr(ONE_BYTE), F.encode(as_bytes, "ISO-8859-1").cast("string")).otherwise(F.col("line"))
+    rows = framed.unionByName(data).select(F.expr(SOURCE_FILE).alias("file"), "part", "seq", line.alias("line"))
+    parted = rows.repartition("file").sortWithinPartitions("file", "part", "seq")
+    parted.select("file", "line").write.partitionBy("file").text(f"{folder}.parts")
+    storage = spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for nation in storage.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}.parts")):
+        if nation.isDirectory():  # one per nation, with one file each
+            (part,) = [f.getPath() for f in storage.listStatus(nation.getPath()) if f.getPath().getName().startswith("part-")]
+            move(spark, part.toString(), f"{folder}/{nation.getPath().getName().removeprefix('file=')}")
+    discard(spark, f"{folder}.parts")

@@ -12,6 +12,20 @@ JOINED = """joined AS (
   SELECT * FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
 _RAW = ", ".join(f"{body} AS {name}" for name, body in ledger.raw_columns(ledger.DUCKDB_FUNCTIONS).items())
 RAW = f"{JOINED}, raw AS (SELECT o_orderkey, n_nationkey, {ledger.SOURCE_FILE} AS _source_file, {_RAW} FROM joined)"
+FILES = f"""{JOINED}, raw AS (SELECT * REPLACE ({ledger.FILE_DESCRIPTION} AS description) FROM (
+  SELECT o_orderkey, c_name, n_nationkey, {ledger.SOURCE_FILE} AS _source_file, {_RAW} FROM joined))"""
+_FILE_SQL = ledger.file_lines()
+# An unquoted empty cell is missing, a quoted one is the empty text.
+_FILE_CELLS = ", ".join(c if c in ledger.QUOTED else f"nullif({c}, '') AS {c}" for c in BUSINESS_COLUMNS)
+_PLAIN_FOOTER = ", ".join(
+    f"'{ledger.FOOTER_TEXT}'" if c == "transaction_date" else "CAST(NULL AS VARCHAR)" for c in BUSINESS_COLUMNS
+)
+_MOVED = f"n_nationkey IN ({', '.join(map(str, ledger.ROTATED))})"
+_FOOTER_CELLS = {
+    "transaction_date": f"CASE WHEN NOT {_MOVED} THEN '{ledger.FOOTER_TEXT}' END",
+    "account": f"CASE WHEN {_MOVED} THEN '{ledger.FOOTER_TEXT}' END",
+}
+_FOOTER = ", ".join(_FOOTER_CELLS.get(c, "CAST(NULL AS VARCHAR)") for c in BUSINESS_COLUMNS)
 
 
 def quote(value: str) -> str:
@@ -409,7 +423,25 @@ def oracle() -> dict[str, str]:
             SELECT source_file, CAST(generate_subscripts(names, 1) - 1 AS INT) AS at,
               CASE WHEN n_nationkey = {ledger.WITHOUT_TITLE} THEN replace(unnest(names), 'Tytuł', 'Opis')
                 ELSE unnest(names) END AS name FROM named""",
-        "export_rows": f"WITH {RAW} SELECT _source_file, o_orderkey, {_CELLS} FROM raw WHERE n_nationkey NOT IN {_BAD}",
+        "export_rows": f"""WITH {RAW} SELECT _source_file, o_orderkey, {_CELLS} FROM raw WHERE n_nationkey NOT IN {_BAD}
+            UNION ALL SELECT DISTINCT _source_file, 0, {_FOOTER} FROM raw WHERE n_nationkey NOT IN {_BAD}""",
+        "export_file_rows": f"""WITH {FILES} SELECT _source_file, {_FILE_CELLS} FROM raw
+            UNION ALL SELECT DISTINCT _source_file, {_PLAIN_FOOTER} FROM raw""",
+        "export_files": f"""WITH {FILES}, counted AS (SELECT n_nationkey, _source_file AS source_file, count(*) AS n,
+              count({day('transaction_date')}) AS typed FROM raw GROUP BY ALL),
+            texts AS (SELECT n_nationkey, 1 AS part, o_orderkey AS seq, {_FILE_SQL['row']} AS line FROM raw
+              UNION ALL SELECT n_nationkey, 0, 0, '"Bank";' FROM counted
+              UNION ALL SELECT n_nationkey, 0, 1, {_FILE_SQL['count']} FROM counted
+              UNION ALL SELECT n_nationkey, 0, 2, {_FILE_SQL['header']} FROM counted
+              UNION ALL SELECT n_nationkey, 2, 0, {_FILE_SQL['footer']} FROM counted),
+            lines AS (SELECT n_nationkey, row_number() OVER (PARTITION BY n_nationkey ORDER BY part, seq, k) - 1 AS no, sha256(line) AS digest
+              FROM (SELECT n_nationkey, part, seq, unnest(string_split(line, chr(10))) AS line,
+                unnest(range(len(string_split(line, chr(10))))) AS k FROM texts)),
+            groups AS (SELECT n_nationkey, no // 10000 AS g, sha256(string_agg(digest, '' ORDER BY no)) AS digest FROM lines GROUP BY ALL),
+            hashes AS (SELECT n_nationkey, sha256(string_agg(digest, '' ORDER BY g)) AS hash FROM groups GROUP BY ALL)
+            SELECT source_file, CASE WHEN {ledger.ONE_BYTE} THEN 'cp1250' ELSE 'utf-8' END AS charset, n AS declared,
+              true AS accepted, typed, typed AS stamped, {len(BUSINESS_COLUMNS)} + CASE WHEN {ledger.MORE_CELLS} THEN 2 ELSE 0 END AS n_columns,
+              CASE WHEN NOT {ledger.ONE_BYTE} THEN hash END AS hash FROM counted JOIN hashes USING (n_nationkey)""",
         "export_quarantine": f"""WITH {_FILES} SELECT source_file, CASE
             WHEN n_nationkey = {ledger.QUOTED_COUNT} THEN 'row count is not a number'
             WHEN n_nationkey = {ledger.WITHOUT_COUNT} THEN 'header or row count not found'

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,11 +97,42 @@ def export_header_names(spark, sf_dir):
 @query
 def export_rows(spark, sf_dir):
     rows = exports.parse_lines(ledger.spark_lines(spark, sf_dir)).rows
-    return rows.filter("_line_block = 1").select(
+    return rows.select(
         "_source_file", F.col("_line_seq").alias("o_orderkey"), *exports.BUSINESS_COLUMNS
     )
 
 
+def read_files(spark: SparkSession, sf_dir: str) -> exports.Export:
+    """The nations' export files written to the shared folder and read back, in several splits each."""
+    folder = f"{shared_dir(spark).rstrip('/')}/exports-{uuid.uuid4().hex}"
+    ledger.write_files(spark, sf_dir, folder)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        return exports.read_exports(spark, folder, "nation_*.csv")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@query
+def export_file_rows(spark, sf_dir):
+    return read_files(spark, sf_dir).rows.select("_source_file", *exports.BUSINESS_COLUMNS)
+
+
+@query
+def export_files(spark, sf_dir):
+    """Charset, control total and provenance of each file; typing passes the provenance on."""
+    read_back = read_files(spark, sf_dir)
+    typed = type_rows(read_back.rows).groupBy("_source_file").agg(
+        F.count(F.lit(1)).alias("typed"), F.max("_hash").alias("hash"), F.count("_ingested_at").alias("stamped")
+    )
+    files = read_back.files.join(typed, F.col("source_file") == F.col("_source_file"))
+    return files.select(
+        "source_file", "charset", "declared", "accepted", "typed", "stamped", F.size("names").alias("n_columns"),
+        F.when(F.col("charset") == "utf-8", F.col("hash")).alias("hash"),
+    )
+
+
 @query
 def export_quarantine(spark, sf_dir):
     return exports.parse_lines(ledger.spark_lines(spark, sf_dir)).quarantine()
@@ -486,8 +518,6 @@ def quality_invariants(spark, sf_dir):
 
 
 def _new_folder(spark: SparkSession) -> str:
-    import uuid
-
     return f"{shared_dir(spark).rstrip('/')}/out-{uuid.uuid4().hex}"
 
 
