@@ -121,9 +121,11 @@ def test_best_keyword_and_best_name_agree_with_brute_force(spark):
 
 def test_joins_agree_without_broadcast(spark, monkeypatch):
     sample, table, vocabulary = frames(spark)
+    words = lambda: sorted(map(tuple, matching.token_hits(matching.tokenise(table), vocabulary).collect()))
+    few = words()
     monkeypatch.setattr(matching, "VOCABULARY_ROWS", 0)
-    monkeypatch.setattr(matching, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(matching.attach, "__defaults__", ("left", (), 0))
+    monkeypatch.setattr(matching.attach, "__defaults__", ("left", (), 0, None))
+    assert words() == few and len({(r[0], r[2]) for r in few}) <= len(few)
     hits = {r.text: r.keyword for r in matching.best_keywords(matching.tokenise(table), vocabulary).join(table, "text_id").collect()}
     assert hits == {t: b[0] for t in sample if (b := plain.best_keyword(t, KEYWORDS))}
 
