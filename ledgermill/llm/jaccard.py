@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.arrays import as_bytes, grouped, mixed, ragged, slices, word_hashes
 from ledgermill.llm.components import components
-from ledgermill.scale import stage
+from ledgermill.scale import Scratch, stage
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -127,7 +127,7 @@ def _root_children(runs: int, threshold: float) -> list[tuple[int, int]]:
     return out
 
 
-def _leaves(reps: DataFrame, runs: int, threshold: float) -> DataFrame:
+def _leaves(reps: DataFrame, runs: int, threshold: float, scratch: Scratch) -> DataFrame:
     """leaf, doc_id, n (documents in the leaf): buckets of two documents and more that are brute-forced."""
     children = F.array(
         *[F.xxhash64(F.lit(run), F.lit(at), F.col("sketch")[at]) for run, at in _root_children(runs, threshold)]
@@ -136,7 +136,7 @@ def _leaves(reps: DataFrame, runs: int, threshold: float) -> DataFrame:
     found: list[DataFrame] = []
     for depth in range(1, MAX_DEPTH + 1):
         counts = level.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        sized = stage(level.join(counts, "path"), "paths")
+        sized = scratch.stage(level.join(counts, "path"), "paths")
         small = F.lit(True) if depth == MAX_DEPTH else F.col("n") <= SMALL_BUCKET
         found.append(sized.filter(small).select(F.col("path").alias("leaf"), "doc_id", "n"))
         rest = sized.filter(~small)
@@ -145,7 +145,7 @@ def _leaves(reps: DataFrame, runs: int, threshold: float) -> DataFrame:
         first = F.pmod(F.xxhash64("path", F.lit(1)), F.lit(HASHES)).cast("int")
         step = 1 + F.pmod(F.xxhash64("path", F.lit(2)), F.lit(HASHES - 1)).cast("int")
         second = F.pmod(first + step, F.lit(HASHES)).cast("int")
-        sampled = stage(
+        sampled = scratch.stage(
             rest.join(reps.select("doc_id", "sketch"), "doc_id").select(
                 "doc_id", "path", "n", F.get("sketch", first).alias("one"), F.get("sketch", second).alias("two")
             ),
@@ -154,7 +154,7 @@ def _leaves(reps: DataFrame, runs: int, threshold: float) -> DataFrame:
         kinds = sampled.groupBy("path").agg(
             (F.approx_count_distinct("one") + F.approx_count_distinct("two")).alias("kinds"), F.max("n").alias("n")
         )
-        dense = stage(kinds.filter(F.col("kinds") <= 2 * DENSE * F.col("n")).select("path"), "dense")
+        dense = scratch.stage(kinds.filter(F.col("kinds") <= 2 * DENSE * F.col("n")).select("path"), "dense")
         found.append(sampled.join(dense, "path", "left_semi").select(F.col("path").alias("leaf"), "doc_id", "n"))
         extra = F.pmod(F.xxhash64("path", F.lit(3)), F.lit(1 << 20)) < int((1 / threshold - 1) * (1 << 20))
         one, two = F.xxhash64("path", F.lit(1), "one"), F.xxhash64("path", F.lit(2), "two")
@@ -343,16 +343,17 @@ class JaccardJoin:
             "copy-classes",
         )
         runs = runs_for(threshold, recall)
-        leaves = stage(_leaves(self.classes, runs, threshold), "leaves")
-        lists = leaves.groupBy("doc_id").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
-        carried = stage(lists.join(self.classes.select("doc_id", "sketch"), "doc_id"), "leaf-lists")
         deviation = math.sqrt(threshold * (1 - threshold) / HASHES)
         self.screen = math.floor(HASHES * max(0.0, threshold - 4 * deviation))
         schema = "tile bigint, leaf bigint, block int, doc_id bigint, leaves array<bigint>, sketch array<int>"
-        tiles = _tiles(leaves).join(carried, "doc_id").select("tile", "leaf", "block", "doc_id", "leaves", "sketch")
-        self.near = stage(
-            tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_screened(self.screen), schema), "near"
-        )
+        with Scratch(docs.sparkSession) as scratch:
+            leaves = scratch.stage(_leaves(self.classes, runs, threshold, scratch), "leaves")
+            lists = leaves.groupBy("doc_id").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
+            carried = lists.join(self.classes.select("doc_id", "sketch"), "doc_id")
+            tiles = _tiles(leaves).join(carried, "doc_id").select("tile", "leaf", "block", "doc_id", "leaves", "sketch")
+            self.near = stage(
+                tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_screened(self.screen), schema), "near"
+            )
 
     def _verify(self, schema: str, pairs: bool) -> DataFrame:
         wanted = self.near.select("doc_id").distinct()

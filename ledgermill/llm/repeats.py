@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.arrays import as_bytes, grouped, mixed, powers, prefix_hash, ragged, slices, span_hash
-from ledgermill.scale import stage
+from ledgermill.scale import Scratch, stage
 
 LENGTH = 400
 GRAM = 100
@@ -233,13 +233,15 @@ def _named(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def repeated_intervals(
-    docs: DataFrame, key: str, text: str, length: int = LENGTH, keep_first: bool = False,
+    docs: DataFrame, key: str, text: str, scratch: Scratch, length: int = LENGTH, keep_first: bool = False,
     gram: int | None = None, many: int = MANY_CLASSES,
 ) -> DataFrame:
-    """doc, mark, low, high: byte intervals to remove, for each text (by key and text hash); they may overlap."""
+    """doc, mark, low, high: byte intervals to remove, for each text (by key and text hash); they may overlap.
+
+    The result reads tables of `scratch`."""
     gram = gram or max(1, length // 4)
     named = _named(docs, key, text)
-    anchors = stage(
+    anchors = scratch.stage(
         named.filter(F.octet_length("text") >= length).mapInArrow(
             _anchors(length, gram),
             "anchor bigint, content bigint, lead int, more int, doc bigint, mark bigint, at bigint",
@@ -249,9 +251,9 @@ def repeated_intervals(
     same = ["anchor", "content", "lead", "more"]
     place = F.struct("doc", "mark", "at")
     classes = anchors.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
-    shared = stage(classes, "stretch-classes")
+    shared = scratch.stage(classes, "stretch-classes")
     kinds = shared.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
-    contested = stage(shared.join(kinds, "anchor").select(*same, "n", "kinds", "first.*"), "contested")
+    contested = scratch.stage(shared.join(kinds, "anchor").select(*same, "n", "kinds", "first.*"), "contested")
     # A class that occurs again is repeated as a whole, but for its first place under keep_first.
     twice = shared.filter("n > 1").select(*same, "first")
     whole = anchors.join(twice, same)
@@ -271,7 +273,7 @@ def repeated_intervals(
     found = found.union(resolved)
     crowded = open_classes.filter(F.col("kinds") > many)
     if crowded.limit(1).count():
-        windows = stage(
+        windows = scratch.stage(
             _wanted(named, contested.filter(F.col("kinds") > many)).mapInArrow(
                 _read_stretches(length, True),
                 "anchor bigint, content bigint, lead int, n bigint, at bigint, doc bigint, mark bigint, "
@@ -348,12 +350,10 @@ def _cut(kept: list[tuple[str, str]], digest: bool):
 
 
 def _removed(docs: DataFrame, key: str, text: str, keep: list[str], digest: bool, **options) -> DataFrame:
-    cuts = stage(
-        repeated_intervals(docs, key, text, **options)
-        .groupBy(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"))
-        .agg(F.collect_list(F.struct("low", "high")).alias("_cuts")),
-        "cuts",
-    )
+    with Scratch(docs.sparkSession) as scratch:
+        found = repeated_intervals(docs, key, text, scratch, **options)
+        per_text = found.groupBy(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"))
+        cuts = stage(per_text.agg(F.collect_list(F.struct("low", "high")).alias("_cuts")), "cuts")
     plain = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
         *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)],
