@@ -254,7 +254,8 @@ def _verified(screen: int, threshold: float, n: int, pairs: bool):
         tiles = table.column("tile").to_numpy()
         ids = table.column("doc_id").to_numpy()
         copies = table.column("copies").to_numpy()
-        sets = list(shingles(table.column("text").combine_chunks(), n))
+        texts = pa.RecordBatch.from_arrays([table.column("text").combine_chunks()], ["text"])
+        sets = [found for part in slices(texts, "text") for found in shingles(part.column("text"), n)]
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(tiles)) + 1, [len(tiles)]])
         order = np.argsort(a, kind="stable")
         a, b = a[order], b[order]
