@@ -149,6 +149,43 @@ def _scorer(model):
     return score
 
 
+def _fuser(model, natural: list[float], host_weight: float):
+    """Best hypothesis (from 1) and its posterior from text, declaration and host; null for texts without a letter."""
+
+    @F.arrow_udf("struct<best: int, confidence: double>")
+    def fuse(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for columns in batches:
+            names = ["text", "declared", "sums", "prior"]
+            best, confidence, none = [], [], []
+            for part in slices(pa.RecordBatch.from_arrays(list(columns), names), "text"):
+                text = model.value.score(part.column("text"))
+                declared, sums, prior = (
+                    np.asarray(part.column(c).flatten(), float).reshape(len(text), -1) for c in names[1:]
+                )
+                rest = np.maximum(0.0, sums - _softmax(text + natural))  # the row itself left out
+                shares = (rest + host_weight * prior) / (rest.sum(axis=1) + host_weight)[:, None]
+                posterior = _softmax(text + declared + np.log(shares))
+                missing = np.isnan(text[:, 0])
+                best.append(np.where(missing, 0, np.nan_to_num(posterior).argmax(axis=1)) + 1)
+                confidence.append(np.nan_to_num(posterior).max(axis=1))
+                none.append(missing)
+            if not best:
+                yield pa.array([], pa.struct([("best", pa.int32()), ("confidence", pa.float64())]))
+                continue
+            yield pa.StructArray.from_arrays(
+                [pa.array(np.concatenate(best).astype(np.int32)), pa.array(np.concatenate(confidence))],
+                ["best", "confidence"],
+                mask=pa.array(np.concatenate(none)),
+            )
+
+    return fuse
+
+
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    weights = np.exp(scores - scores.max(axis=1, keepdims=True))
+    return weights / weights.sum(axis=1, keepdims=True)
+
+
 def declared_in(html: Column) -> Column:
     """The primary language subtag in the lang attribute of the html element, lower case; null if none."""
     found = F.regexp_extract(html, r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})", 1)
@@ -204,8 +241,10 @@ def identify_languages(
             {language: F.lit(None).cast("string"), confidence: F.lit(None).cast("double"), rejected: F.lit(True)}
         )
     kinds = len(model.languages) + 1  # the last is none that is known
-    score = _scorer(docs.sparkSession.sparkContext.broadcast(model))
-    natural = F.array(*[F.lit(float(np.log((1 - UNKNOWN_PRIOR) / (kinds - 1))))] * (kinds - 1), F.lit(float(np.log(UNKNOWN_PRIOR))))
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    score = _scorer(sent)
+    natural_logs = [float(np.log((1 - UNKNOWN_PRIOR) / (kinds - 1)))] * (kinds - 1) + [float(np.log(UNKNOWN_PRIOR))]
+    natural = F.array(*map(F.lit, natural_logs))
     scored = (
         docs.select(text.alias(t), *[c.alias(n) for n, c in evidence.items()])
         .withColumn(ll, score(F.col(t))).filter(F.col(ll).isNotNull())
@@ -229,17 +268,14 @@ def identify_languages(
     hosts = by_host.join(by_suffix, s).select(
         h, F.struct(F.col("sums").alias("sums"), _shares(F.col("suffix_sums"), every, HOST_WEIGHT).alias("prior")).alias(hst)
     )
-    rows = docs.withColumns(evidence).withColumn(ll, score(text))
+    rows = docs.withColumns(evidence)
     rows = attach(rows, stage(declared_table, "language-declared"), [d], spread=[F.col(key)])
     rows = attach(rows, stage(hosts, "language-hosts"), [h], spread=[F.col(key)])
-    own = _posterior(F.zip_with(ll, natural, lambda a, b: a + b))
-    rest = F.zip_with(F.col(hst)["sums"], own, lambda c, o: F.greatest(c - o, F.lit(0.0)))
-    prior = F.transform(_shares(rest, F.col(hst)["prior"], HOST_WEIGHT), lambda x: F.log(x))
-    rows = rows.withColumn(post, F.zip_with(F.zip_with(ll, dec, lambda a, b: a + b), prior, lambda a, b: a + b))
-    rows = rows.withColumn(post, _posterior(F.col(post)))
-    best = F.array_position(F.col(post), F.array_max(post)).cast("int")
-    known = F.element_at(F.array(*[F.lit(x) for x in [*model.languages, None]]), best)
-    rows = rows.withColumns({language: known, confidence: F.array_max(post)})
+    # One function for all evidence, so that a filter on its result does not repeat its parts.
+    fuse = _fuser(sent, natural_logs, HOST_WEIGHT)
+    rows = rows.withColumn(post, fuse(text, F.col(dec), F.col(hst)["sums"], F.col(hst)["prior"]))
+    known = F.get(F.array(*[F.lit(x) for x in [*model.languages, None]]), F.col(post)["best"] - 1)
+    rows = rows.withColumns({language: known, confidence: F.col(post)["confidence"]})
     refused = F.col(language).isNull() | (F.col(confidence) < floor)
     return rows.withColumn(rejected, refused).withColumn(
         language, F.when(~F.col(rejected), F.col(language))
