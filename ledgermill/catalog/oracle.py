@@ -489,8 +489,8 @@ def oracle() -> dict[str, str]:
             SELECT keyword, subcategory, category, pos FROM kws JOIN parents USING (subcategory)""",
         "vocabulary_repeats": """SELECT p_name AS keyword, count(DISTINCT p_brand) AS subcategories,
             arg_max(p_brand, p_partkey) AS applied FROM part GROUP BY 1 HAVING count(DISTINCT p_brand) > 1""",
-        "vocabulary_unknown": """SELECT DISTINCT p_brand AS subcategory FROM part WHERE p_brand NOT IN
-            (SELECT p_brand FROM part WHERE p_type = 'PROMO' AND p_partkey < 50)""",
+        "vocabulary_unknown": """SELECT DISTINCT c_mktsegment AS subcategory FROM customer
+            WHERE c_mktsegment NOT IN (SELECT p_brand FROM part)""",
         "token_set_pairs": f"""WITH {token_set_ctes(part_texts, part_kw)}
             SELECT substr(sha256(text), 1, 32) AS text_id, keyword, score FROM whole WHERE score >= 80""",
         "word_matches": f"WITH {word_ctes(talk, text_kw)} SELECT word AS string, keyword, score FROM hits",
@@ -541,7 +541,8 @@ def oracle() -> dict[str, str]:
             check("lineitem.line_key unique", f"count(*) - count(DISTINCT {_LINE_KEY})", "lineitem"),
         ]),
         "check_foreign_keys": " UNION ALL ".join([
-            check("lineitem.l_orderkey in orders", "count(*)", "lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderdate < '2001-01-01')"),
+            check("lineitem.l_orderkey in orders", "count(*)", "lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)"),
+            check("customer.c_custkey in orders", "count(*)", "customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)"),
             check("lineitem.l_partkey in part", "count(*)", "lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)"),
             check("lineitem.l_suppkey in supplier", "count(*)", "lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)"),
         ]),

@@ -295,7 +295,8 @@ def vocabulary_repeats(spark, sf_dir):
 @query
 def vocabulary_unknown(spark, sf_dir):
     taxonomy, training = part_taxonomy(spark, sf_dir)
-    return unknown_subcategories(taxonomy.filter("category = 'PROMO' and pos < 50"), training)
+    segments = read(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("subcategory"))
+    return unknown_subcategories(taxonomy, training.select("subcategory").unionByName(segments))
 
 
 @query
@@ -462,14 +463,16 @@ def check_unique_keys(spark, sf_dir):
 @query
 def check_foreign_keys(spark, sf_dir):
     lines = read(spark, sf_dir, "lineitem")
-    late = read(spark, sf_dir, "orders").filter("o_orderdate < '2001-01-01'")
+    orders, customers = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
     parts, suppliers = read(spark, sf_dir, "part"), read(spark, sf_dir, "supplier")
     edges = [
-        ("l_orderkey", late.withColumnRenamed("o_orderkey", "l_orderkey"), "orders"),
+        ("l_orderkey", orders.withColumnRenamed("o_orderkey", "l_orderkey"), "orders"),
         ("l_partkey", parts.withColumnRenamed("p_partkey", "l_partkey"), "part"),
         ("l_suppkey", suppliers.withColumnRenamed("s_suppkey", "l_suppkey"), "supplier"),
     ]
-    return verdicts(quality.no_orphans(lines, edges, "lineitem"))
+    active = [("c_custkey", orders.withColumnRenamed("o_custkey", "c_custkey"), "orders")]  # not every customer has one
+    checks = quality.no_orphans(lines, edges, "lineitem").unionByName(quality.no_orphans(customers, active, "customer"))
+    return verdicts(checks)
 
 
 @query
