@@ -8,9 +8,10 @@ most `MOST_LISTS`. Every vector goes to the list of its nearest centroid and, as
 a boundary vector, to up to `REPLICAS` - 1 more whose centroids are at most
 `BOUNDARY` times as far.
 
-A query walks a graph of the centroids (each linked to its nearest and to some
-far ones), held in memory by every task and bounded by `MOST_LISTS`, and takes
-every list whose centroid is at most a ratio times as far as the nearest one. The
+A query walks a graph of the centroids (each linked both ways to its
+nearest and to some far ones), held in memory by every task and bounded by `MOST_LISTS`, and takes
+every list whose centroid is at most a ratio times as far as the nearest one, and
+the `LEAST_PROBES` nearest in any case. The
 ratio is measured: for `TRIALS` queries the true neighbours are found by brute
 force over all rows, and the ratio is the least that reaches all but
 1 - `RECALL` of them.
@@ -36,35 +37,39 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgermill.llm.arrays import grouped
 from ledgermill.scale import stage
 
-LIST_ROWS = 256
+LIST_ROWS = 1024
 MOST_LISTS = 8192
 SAMPLE_ROWS = 65_536
 SAMPLE_BYTES = 32 << 20
 ROUNDS = 8
 REPLICAS = 4
 BOUNDARY = 1.3
-TRIALS = 64
-RECALL = 0.97
+TRIALS = 256
+RECALL = 0.96
+LEAST_PROBES = 4
 LINKS = 16
 FAR_LINKS = 4
 QUERY_ROWS = 512
 TILE_ROWS = 4096
+MERGE_PARTS = 16
 
 
 @dataclass
 class Index:
-    """Centroids of the lists, a graph over them, and the norm that vectors are raised to."""
+    """Centroids of the lists, a graph over them, the norm that vectors are raised to, and
+    the least squared distance that ratios are taken to, as a centroid may be a lone vector."""
 
     centroids: np.ndarray
-    links: np.ndarray
+    links: list[np.ndarray]
     norm: float
+    floor: float = 0.0
 
     def raised(self, x: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(0.0, self.norm**2 - (x * x).sum(axis=1)))
@@ -90,7 +95,7 @@ class Index:
         steps = 0
         while open_:
             far, at = heapq.heappop(open_)
-            if steps >= LINKS and far > ratio**2 * least:
+            if steps >= LINKS and far > ratio**2 * max(least, self.floor):
                 break
             steps += 1
             new = [c for c in self.links[at].tolist() if c not in seen]
@@ -101,7 +106,8 @@ class Index:
                 least = min(least, d)
                 heapq.heappush(open_, (d, c))
                 found.append((d, c))
-        return [c for d, c in sorted(found) if d <= ratio**2 * least]
+        found.sort()
+        return [c for k, (d, c) in enumerate(found) if k < LEAST_PROBES or d <= ratio**2 * max(least, self.floor)]
 
 
 def _distances(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -111,12 +117,12 @@ def _distances(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
 
 def fit(sample: np.ndarray, rows: int, norm: float) -> Index:
     """Balanced k-means of the sample, for a table of `rows` vectors."""
-    index = Index(np.zeros((0, 0)), np.zeros((0, 0), np.int64), norm)
+    index = Index(np.zeros((0, 0)), [], norm)
     x = index.raised(sample.astype(np.float64))
     random = np.random.default_rng(3)
     k = int(min(MOST_LISTS, max(1, rows // LIST_ROWS), len(x)))
     centroids = x[random.choice(len(x), k, replace=False)]
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         sizes = np.zeros(k)
         chosen = np.empty(len(x), np.int64)
         order = random.permutation(len(x))
@@ -130,14 +136,18 @@ def fit(sample: np.ndarray, rows: int, norm: float) -> Index:
         np.add.at(sums, chosen, x)
         filled = sizes > 0
         centroids[filled] = sums[filled] / sizes[filled][:, None]
-        centroids[~filled] = x[random.choice(len(x), int((~filled).sum()))]
-    links = np.empty((k, min(LINKS + FAR_LINKS, k)), np.int64)
+        if turn < ROUNDS - 1:  # a vector of its own would stand at no distance from its list
+            centroids[~filled] = x[random.choice(len(x), int((~filled).sum()))]
+    ends: list[set[int]] = [set() for _ in range(k)]
     for at in range(0, k, 1024):
         far = _distances(centroids[at : at + 1024], centroids)
-        near = np.argsort(far, axis=1)[:, : min(LINKS, k)]
-        rest = random.integers(0, k, (len(near), links.shape[1] - near.shape[1]))
-        links[at : at + 1024] = np.hstack([near, rest])
-    return Index(centroids, links, norm)
+        for own, near in enumerate(np.argsort(far, axis=1)[:, : LINKS + 1], at):
+            for other in {*near.tolist(), *random.integers(0, k, FAR_LINKS).tolist()} - {own}:
+                ends[own].add(other)
+                ends[other].add(own)  # else a centroid far from all others could not be found
+    links = [np.array(sorted(e), np.int64) for e in ends]
+    near = np.concatenate([_distances(x[at : at + 1024], centroids).min(axis=1) for at in range(0, len(x), 1024)])
+    return Index(centroids, links, norm, float(np.median(near)) / 2)
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -180,7 +190,7 @@ def _best_of_tiles(k: int):
         asks = table.column("asks").to_numpy(zero_copy_only=False).astype(bool)
         x = _matrix(table.column("vector"))
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(tiles)) + 1, [len(tiles)]])
-        queries, found, scores = [], [], []
+        queries, counts, found, scores, owners = [], [], [], [], []
         for low, high in zip(cuts[:-1], cuts[1:]):
             mine = asks[low:high]
             q, v = np.flatnonzero(mine) + low, np.flatnonzero(~mine) + low
@@ -194,13 +204,22 @@ def _best_of_tiles(k: int):
                 best = np.argsort(-values, axis=1, kind="stable")[:, :k]  # ties stay in order of id
                 top = np.take_along_axis(values, best, axis=1)
                 fit = top > -np.inf
-                queries.append(np.repeat(ids[rows], fit.sum(axis=1)))
+                queries.append(ids[rows])
+                counts.append(fit.sum(axis=1))
                 found.append(ids[v][best][fit])
-                scores.append(top[fit])
+                scores.append(-top[fit])
+                owners.append(np.full(len(rows), tiles[low]))
         if not queries:
             return None
+        ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        best = pa.StructArray.from_arrays([pa.array(np.concatenate(c)) for c in (found, scores)], ["vec_id", "below"])
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(c)) for c in (queries, found, scores)], ["query_id", "vec_id", "score"]
+            [
+                pa.array(np.concatenate(queries)),
+                pa.array(np.concatenate(owners)),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), best),
+            ],
+            ["query_id", "tile", "best"],
         )
 
     return lambda batches: grouped(batches, "tile", work, 4 * TILE_ROWS)
@@ -216,7 +235,7 @@ def _usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def _search(lists: DataFrame, sizes: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    """Best of each list for the queries sent to it: query_id, vec_id, score."""
+    """Best of each tile for the queries sent to it: query_id, tile, best (ids with scores below zero)."""
     queries = asked.select("id", "vector", F.explode("lists").alias("list"))
     per_list = queries.groupBy("list").agg(F.count(F.lit(1)).alias("queries"))
     plan = stage(
@@ -238,7 +257,7 @@ def _search(lists: DataFrame, sizes: DataFrame, asked: DataFrame, k: int) -> Dat
 
     both = dealt(lists, "parts", "blocks", False).union(dealt(queries, "blocks", "parts", True))
     return both.repartition("tile").sortWithinPartitions("tile").mapInArrow(
-        _best_of_tiles(k), "query_id bigint, vec_id bigint, score double"
+        _best_of_tiles(k), "query_id bigint, tile bigint, best array<struct<vec_id: bigint, below: double>>"
     )
 
 
@@ -277,7 +296,7 @@ def _ratio(rows: DataFrame, queries: DataFrame, lists: DataFrame, index: Index,
     if not held.num_rows:
         return 1.0
     far = _distances(np.column_stack([x, np.zeros(len(x))]), index.centroids)
-    shares = np.sqrt(far / np.maximum(far.min(axis=1), 1e-300)[:, None])
+    shares = np.sqrt(far / np.maximum(far.min(axis=1), max(index.floor, 1e-300))[:, None])
     at = {q: i for i, q in enumerate(own.tolist())}
     needed: dict[tuple[int, int], float] = {}
     for q, v, c in zip(*(held.column(c).to_pylist() for c in ("query_id", "vec_id", "list"))):
@@ -312,17 +331,41 @@ def nearest(
     queries = rows.filter(is_query(F.col("id")))
     ratio = _ratio(rows, queries, lists, fitted, k, recall)
     asked = stage(queries.mapInArrow(_place(index, ratio), placed), "asked")
-    found = stage(_top(_search(lists, sizes, asked, k), k), "found")
+    found = stage(_best(_search(lists, sizes, asked, k), k), "found")
     others = rows.select("id").distinct().count() - 1
     counts = found.groupBy(F.col("query_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
     short = asked.join(counts, "id", "left").filter(F.coalesce("n", F.lit(0)) < min(k, others)).select("id", "vector")
     if others > 0 and short.limit(1).count():
         every = F.sequence(F.lit(0), F.lit(len(fitted.centroids) - 1))
-        again = _top(_search(lists, sizes, short.withColumn("lists", every), k), k)
+        again = _best(_search(lists, sizes, short.withColumn("lists", every), k), k)
         found = found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").union(again)
     return found.select("query_id", "rank", "vec_id", "score")
 
 
+def _merged(groups: GroupedData, keys: list[str], k: int) -> DataFrame:
+    """The `k` best of the lists of each group; an id counts once, with its best score."""
+    rows = groups.agg(F.array_sort(F.flatten(F.collect_list("best"))).alias("by_id"))
+    # A step of its own, so that the sorted list is not made again for every element.
+    first = F.filter("by_id", lambda x, i: (i == 0) | (x["vec_id"] != F.get("by_id", i - 1)["vec_id"]))
+    rows = rows.select(*keys, first.alias("once"))
+    swapped = F.transform("once", lambda x: F.struct(x["below"].alias("below"), x["vec_id"].alias("vec_id")))
+    best = F.transform(
+        F.slice(F.array_sort(swapped), 1, k), lambda x: F.struct(x["vec_id"].alias("vec_id"), x["below"].alias("below"))
+    )
+    return rows.select(*keys, best.alias("best"))
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    """The `k` best over all tiles. Tiles are merged in two steps, as a list that holds
+    many rows has many tiles."""
+    part = F.pmod(F.xxhash64("tile"), F.lit(MERGE_PARTS)).alias("part")
+    halfway = _merged(found.groupBy("query_id", part), ["query_id"], k)
+    merged = _merged(halfway.groupBy("query_id"), ["query_id"], k)
+    return merged.select("query_id", F.posexplode("best").alias("at", "best")).select(
+        "query_id", (F.col("at") + 1).alias("rank"), "best.vec_id", (-F.col("best.below")).alias("score")
+    )
+
+
 def _top(found: DataFrame, k: int) -> DataFrame:
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
