@@ -59,6 +59,7 @@ FAR_LINKS = 4
 QUERY_ROWS = 512
 TILE_ROWS = 4096
 MERGE_PARTS = 16
+ERROR = 1e-12  # of matrix products relative to the norms, with much to spare
 
 
 @dataclass
@@ -175,6 +176,14 @@ def _place(index, ratio: float | None):
     return run
 
 
+def pair_scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """`exact_scores` of each row of `queries` with the same row of `vectors`."""
+    out = np.zeros(len(queries))
+    for k in range(queries.shape[1]):
+        out += queries[:, k] * vectors[:, k]
+    return out
+
+
 def exact_scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Inner products in double precision, summed in component order, so equal vectors score equally."""
     out = np.zeros((len(queries), len(vectors)))
@@ -199,15 +208,20 @@ def _best_of_tiles(k: int):
             v = v[np.argsort(ids[v], kind="stable")]
             for at in range(0, len(q), 64):
                 rows = q[at : at + 64]
-                values = exact_scores(x[rows], x[v])
+                values = x[rows] @ x[v].T  # near enough to leave out all but the best
                 values[ids[rows][:, None] == ids[v]] = -np.inf
-                best = np.argsort(-values, axis=1, kind="stable")[:, :k]  # ties stay in order of id
-                top = np.take_along_axis(values, best, axis=1)
-                fit = top > -np.inf
+                least = np.partition(values, len(v) - k, axis=1)[:, len(v) - k] if len(v) > k else -np.inf
+                slack = ERROR * np.sqrt((x[rows] ** 2).sum(axis=1).max() * (x[v] ** 2).sum(axis=1).max())
+                at_q, at_v = np.nonzero((values >= np.reshape(least, (-1, 1)) - slack) & (values > -np.inf))
+                exact = pair_scores(x[rows][at_q], x[v][at_v])
+                order = np.lexsort((at_v, -exact, at_q))  # ties stay in order of id
+                at_q, at_v, exact = at_q[order], at_v[order], exact[order]
+                first = np.searchsorted(at_q, np.arange(len(rows)))
+                kept = np.arange(len(at_q)) - first[at_q] < k
                 queries.append(ids[rows])
-                counts.append(fit.sum(axis=1))
-                found.append(ids[v][best][fit])
-                scores.append(-top[fit])
+                counts.append(np.bincount(at_q[kept], minlength=len(rows)))
+                found.append(ids[v][at_v[kept]])
+                scores.append(-exact[kept])
                 owners.append(np.full(len(rows), tiles[low]))
         if not queries:
             return None
