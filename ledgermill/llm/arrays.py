@@ -11,8 +11,22 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 SLICE_BYTES = 1 << 20
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session send at most `BATCH_ROWS` rows to Python at once.
+
+    Both sides hold a batch of texts several times over, beside the heap; Spark's
+    own limit of 10,000 rows is meant for numbers. Smaller limits are left alone.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -64,6 +78,7 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Itera
         stop = max(at + 1, int(np.searchsorted(ends, base + size, "right")))
         yield batch.slice(at, stop - at)
         at = stop
+    pa.default_memory_pool().release_unused()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,15 +145,25 @@ def grouped(
         if n < enough:
             continue
         table = pa.Table.from_batches(held)
-        cut = int(np.searchsorted(table.column(key).to_numpy(), batch.column(key)[-1].as_py(), "left"))
-        if cut:
-            out = work(table.slice(0, cut).combine_chunks())
-            if out is not None:
-                yield out
-            held = table.slice(cut).to_batches()
-            n = table.num_rows - cut
+        keys = table.column(key).to_numpy()
+        cut = int(np.searchsorted(keys, keys[-1], "left"))  # the last group may go on
+        yield from _worked(table.slice(0, cut), keys[:cut], work, rows)
+        held = table.slice(cut).to_batches()
+        n = table.num_rows - cut
         enough = n + rows
     if n:
-        out = work(pa.Table.from_batches(held).combine_chunks())
+        table = pa.Table.from_batches(held)
+        yield from _worked(table, table.column(key).to_numpy(), work, rows)
+    pa.default_memory_pool().release_unused()
+
+
+def _worked(table: pa.Table, keys: np.ndarray, work, rows: int) -> Iterator[pa.RecordBatch]:
+    """Results of `work` on runs of whole groups, each of `rows` rows or one group more."""
+    ends = np.append(np.flatnonzero(np.diff(keys)) + 1, len(keys))
+    at = 0
+    while at < len(keys):
+        stop = int(ends[min(np.searchsorted(ends, at + rows), len(ends) - 1)])
+        out = work(table.slice(at, stop - at).combine_chunks())
         if out is not None:
             yield out
+        at = stop

@@ -27,15 +27,15 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from ledgermill.llm.arrays import ragged, slices
+from ledgermill.llm.arrays import ragged, slices, small_batches
 from ledgermill.llm.pieces import cut
 
 # Fixed value: the published pattern that splits text before byte-level merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 200_000
 WORD_CHARS = 64  # longer words are encoded each time
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 TREE_CELLS = 1 << 16
 
 _NONE = np.int64(np.iinfo(np.int64).max)
@@ -248,6 +248,7 @@ _DIGEST = ["n_tokens", "ids_sha256", "decoded_sha256"]
 
 
 def _mapped(docs: DataFrame, tokenizer: str, text: str, key: str, detail: bool) -> DataFrame:
+    small_batches(docs.sparkSession)
     with open(tokenizer, "rb") as file:
         model = docs.sparkSession.sparkContext.broadcast(file.read())
     kind = dict(docs.dtypes)[key]

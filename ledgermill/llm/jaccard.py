@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.arrays import as_bytes, grouped, mixed, ragged, slices, word_hashes
+from ledgermill.llm.arrays import as_bytes, grouped, mixed, ragged, slices, small_batches, word_hashes
 from ledgermill.llm.components import components
 from ledgermill.scale import Scratch, stage
 
@@ -330,6 +330,7 @@ class JaccardJoin:
     ):
         self.docs = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
         self.n, self.threshold = n, threshold
+        small_batches(docs.sparkSession)
         sketched = self.docs.mapInArrow(
             _sketch("doc_id", "text", n), "doc_id bigint, size bigint, mark bigint, mark2 bigint, sketch array<int>"
         )

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgermill.llm.arrays import as_bytes, slices
+from ledgermill.llm.arrays import as_bytes, slices, small_batches
 from ledgermill.llm.mixing import free_name
 from ledgermill.scale import attach, stage
 
@@ -227,6 +227,7 @@ def identify_languages(
     names: tuple[str, str, str] = ("language", "confidence", "rejected"),
 ) -> DataFrame:
     """`docs` with the best language, its posterior and whether the row is rejected."""
+    small_batches(docs.sparkSession)
     text, declared, host = (F.col(c) if isinstance(c, str) else c for c in (text, declared, host))
     names = tuple(free_name(n, docs.columns) for n in names)
     language, confidence, rejected = names

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.arrays import SPACES, as_bytes, mixed, prefix_hash, slices, span_hash, word_spans
+from ledgermill.llm.arrays import SPACES, as_bytes, mixed, prefix_hash, slices, small_batches, span_hash, word_spans
 from ledgermill.scale import attach, stage
 
 LEAST_WORDS = 50
@@ -141,6 +141,7 @@ def line_quality(
     line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE, left_share: float = LEFT_SHARE,
 ) -> DataFrame:
     """The base figures of every row, base_failed, the word characters outside common lines, and kept."""
+    small_batches(docs.sparkSession)
     named = docs.select(
         F.col(key).alias("doc_id"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),

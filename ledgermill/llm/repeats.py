@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.arrays import as_bytes, grouped, mixed, powers, prefix_hash, ragged, slices, span_hash
+from ledgermill.llm.arrays import as_bytes, grouped, mixed, powers, prefix_hash, ragged, slices, small_batches, span_hash
 from ledgermill.scale import Scratch, stage
 
 LENGTH = 400
@@ -221,7 +221,7 @@ def _resolve(length: int, keep_first: bool):
             ["doc", "mark", "low", "high"],
         )
 
-    return lambda batches: grouped(batches, "anchor", work, max(1, 2 * WORK_BYTES // length))
+    return lambda batches: grouped(batches, "anchor", work, max(1, WORK_BYTES // length))
 
 
 def _named(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -325,7 +325,7 @@ def _merged(lists: pa.Array, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
 
 def _cut(kept: list[tuple[str, str]], digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "_body")):
             rows = []
             texts = pc.fill_null(batch.column("_body"), "").cast(pa.binary())
             for text, (low, high) in zip(texts, _merged(batch.column("_cuts"), batch.num_rows)):
@@ -350,6 +350,7 @@ def _cut(kept: list[tuple[str, str]], digest: bool):
 
 
 def _removed(docs: DataFrame, key: str, text: str, keep: list[str], digest: bool, **options) -> DataFrame:
+    small_batches(docs.sparkSession)
     with Scratch(docs.sparkSession) as scratch:
         found = repeated_intervals(docs, key, text, scratch, **options)
         per_text = found.groupBy(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"))

@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.llm.arrays import small_batches
 from ledgermill.llm.languages import host_of
 from ledgermill.scale import attach, stage
 
@@ -439,6 +440,7 @@ def extract_main_text(
     sample: int = SAMPLE_PAGES, constant: float = CONSTANT, least: int = LEAST_ARTICLES,
 ) -> DataFrame:
     """page_id, url, text and n_chars of every row of `pages`."""
+    small_batches(pages.sparkSession)
     rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html")).withColumn(
         "host", F.coalesce(F.concat(F.lit("="), host_of(F.col("url"))), F.lit(""))
     )
