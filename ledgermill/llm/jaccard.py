@@ -55,17 +55,42 @@ _RANDOM = np.random.default_rng(5)
 _FACTORS = _RANDOM.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def survival(threshold: float, depth: int) -> float:
-    """The probability that a pair of similarity `threshold` still shares a bucket `depth` splits down."""
+def survival(threshold: float, depth: int, agreeing: float | None = None) -> float:
+    """The probability that a pair still shares a bucket `depth` splits down, if it agrees in a share
+    `agreeing` (`threshold` unless told otherwise) of the positions that are sampled for `threshold`."""
+    share = threshold if agreeing is None else agreeing
     extra, lost = 1 / threshold - 1, 0.0
     for _ in range(depth):
-        one = 1 - threshold + threshold * lost
+        one = 1 - share + share * lost
         lost = (1 - extra) * one + extra * one * one
     return 1 - lost
 
 
+def screen_for(threshold: float) -> int:
+    """The agreeing minhashes below which a pair is not compared, four deviations under the threshold."""
+    return math.floor(HASHES * max(0.0, threshold - 4 * math.sqrt(threshold * (1 - threshold) / HASHES)))
+
+
+def lost_share(threshold: float, runs: int, depth: int = MAX_DEPTH) -> float:
+    """The share of pairs of similarity `threshold` that no run keeps or that the screen leaves out.
+
+    All runs sample the same minhashes, so they are independent only for a given number of agreeing ones.
+    """
+    lost, screen = 0.0, screen_for(threshold)
+    for m in range(HASHES + 1):
+        weight = math.comb(HASHES, m) * threshold**m * (1 - threshold) ** (HASHES - m)
+        lost += weight * (1.0 if m < screen else (1 - survival(threshold, depth, m / HASHES)) ** runs)
+    return lost
+
+
 def runs_for(threshold: float, recall: float, depth: int = MAX_DEPTH) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival(threshold, depth)))
+    """The least number of runs that loses at most 1 - `recall` of the pairs at the threshold."""
+    if lost_share(threshold, 1 << 20, depth) > 1 - recall:
+        raise ValueError(f"{HASHES} minhashes cannot reach a recall of {recall}")
+    runs = 1
+    while lost_share(threshold, runs, depth) > 1 - recall:
+        runs += 1
+    return runs
 
 
 def shingles(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -345,8 +370,7 @@ class JaccardJoin:
             "copy-classes",
         )
         runs = runs_for(threshold, recall)
-        deviation = math.sqrt(threshold * (1 - threshold) / HASHES)
-        self.screen = math.floor(HASHES * max(0.0, threshold - 4 * deviation))
+        self.screen = screen_for(threshold)
         schema = "tile bigint, leaf bigint, block int, doc_id bigint, leaves array<bigint>, sketch array<int>"
         with Scratch(docs.sparkSession) as scratch:
             leaves = scratch.stage(_leaves(self.classes, runs, threshold, scratch), "leaves")

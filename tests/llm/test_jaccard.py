@@ -1,6 +1,8 @@
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from ledgermill.llm import jaccard
 from tests.llm.samples import awkward, edited, empty, frame, row, sentence
 
@@ -93,3 +95,25 @@ def test_runs_reach_the_recall():
     for run, _ in jaccard._root_children(runs, 0.8):
         shared[run] += 1
     assert set(shared) == set(range(runs)) and set(shared.values()) <= {1, 2}
+
+
+def test_runs_that_share_minhashes_reach_the_recall():
+    runs, pairs = jaccard.runs_for(0.8, 0.999), 40_000
+    random = np.random.default_rng(1)
+    share = random.binomial(jaccard.HASHES, 0.8, pairs)[:, None] / jaccard.HASHES
+    paths = np.ones((pairs, runs), np.int64)
+    for _ in range(jaccard.MAX_DEPTH):
+        paths = random.binomial(paths + random.binomial(paths, 0.25), share)
+    assert (paths.sum(axis=1) == 0).mean() <= 0.0013
+
+
+def test_pairs_at_the_threshold_survive_down_to_the_greatest_depth(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SMALL_BUCKET", 1)  # so that every bucket is split as long as it can be
+    monkeypatch.setattr(jaccard, "DENSE", 0)
+    rows = []
+    for k in range(2000):
+        base = sentence(10_000 + 2 * k, 49).split(" ")
+        rows.append(row(2 * k, " ".join(base)))
+        rows.append(row(2 * k + 1, " ".join([*base[:20], f"other{k}", *base[21:]])))  # 40 of 50 runs are shared
+    got = {r.doc_id: r.n_links for r in jaccard.jaccard_join(frame(spark, rows)).collect()}
+    assert sum(got[2 * k] == 0 for k in range(2000)) <= 5
