@@ -98,14 +98,17 @@ def shingles(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
     data, offsets = as_bytes(pc.utf8_lower(pc.fill_null(texts, "")))
     words, first = word_hashes(data, offsets)
     runs = np.zeros(len(words), np.uint64)
-    for k in range(n):
+    for k in range(min(n, len(words))):
         runs[: len(words) - k] = runs[: len(words) - k] * np.uint64(0xD6E8FEB86659FD93) + words[k:]
     runs = mixed(runs)
     for a, b in zip(first[:-1], first[1:]):
         if b - a >= n:
             yield np.unique(runs[a : b - n + 1])
         elif b > a:
-            yield mixed(np.multiply.reduce(words[a:b] | np.uint64(1), keepdims=True) + words[a:b].sum(keepdims=True) * np.uint64(b - a))
+            run = np.full(1, b - a, np.uint64)  # the count first, then the words in their order
+            for k in range(a, b):
+                run = run * np.uint64(0xD6E8FEB86659FD93) + words[k : k + 1]
+            yield mixed(run)
         else:
             yield np.zeros(0, np.uint64)
 

@@ -97,6 +97,16 @@ def test_runs_reach_the_recall():
     assert set(shared) == set(range(runs)) and set(shared.values()) <= {1, 2}
 
 
+def test_short_texts_differ_by_the_order_of_their_words(spark):
+    texts = ["dog bites", "bites dog", "dog bites man", "man bites dog", "a b c d", "d c b a", "dog  Bites man", "dog", "dog dog"]
+    rows = [row(i, text) for i, text in enumerate(texts)]
+    want, _, _ = brute(rows)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.jaccard_join(frame(spark, rows)).collect()}
+    assert got == want and want[6] == (2, 1)
+    kept = jaccard.first_of_classes(frame(spark, rows))
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 7, 8]
+
+
 def test_runs_that_share_minhashes_reach_the_recall():
     runs, pairs = jaccard.runs_for(0.8, 0.999), 40_000
     random = np.random.default_rng(1)
