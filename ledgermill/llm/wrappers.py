@@ -31,6 +31,7 @@ from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from html import unescape
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -211,6 +212,8 @@ class Shapes:
         self.scores: dict[tuple[int, int], int] = {}
         self.paired: dict[tuple[int, int], list[tuple[int, int]]] = {}
         self.slotted: dict[tuple[int, int], list[int]] = {}
+        self.texts: dict[str, int] = {}
+        self.held = 0  # about how many numbers `slotted` and `texts` hold
 
     def number(self, tag: str, kids: tuple[int, ...]) -> int:
         key = (tag, kids)
@@ -221,33 +224,79 @@ class Shapes:
             self.sizes.append(1 + sum(self.sizes[k] for k in kids))
         return found
 
-    def of_node(self, node: Node) -> int:
-        kids: list[int] = []
-        node.groups.clear()
-        for kid in node.kids:
-            shape = self.of_node(kid)
-            if not kids or kids[-1] != shape:
-                kids.append(shape)
-            node.groups.append(len(kids) - 1)
-        return self.number(node.tag, tuple(kids))
+    def of_node(self, root: Node) -> int:
+        nodes = [root]
+        for node in nodes:
+            nodes += node.kids
+        found: dict[Node, int] = {}
+        for node in reversed(nodes):  # children before their parents
+            kids: list[int] = []
+            node.groups.clear()
+            for kid in node.kids:
+                shape = found.pop(kid)
+                if not kids or kids[-1] != shape:
+                    kids.append(shape)
+                node.groups.append(len(kids) - 1)
+            found[node] = self.number(node.tag, tuple(kids))
+        return found[root]
 
     def dump(self, shape: int) -> list:
-        tag, kids = self.of[shape]
-        return [tag, *map(self.dump, kids)]
+        """Tag and depth of every node, a parent before its children."""
+        out, stack = [], [(shape, 0)]
+        while stack:
+            at, depth = stack.pop()
+            tag, kids = self.of[at]
+            out += (tag, depth)
+            stack += [(k, depth + 1) for k in reversed(kids)]
+        return out
 
     def load(self, tree: list) -> int:
-        return self.number(tree[0], tuple(map(self.load, tree[1:])))
+        """The shape of a nested list (a tag and its children), or of what `dump` gives."""
+        if len(tree) == 1 or isinstance(tree[1], list):
+            flat, stack = [], [(tree, 0)]
+            while stack:
+                at, depth = stack.pop()
+                flat += (at[0], depth)
+                stack += [(k, depth + 1) for k in reversed(at[1:])]
+            tree = flat
+        waiting: list[list[int]] = [[]]  # the children of the next node of each depth, last first
+        for tag, depth in zip(reversed(tree[::2]), reversed(tree[1::2])):
+            while len(waiting) < depth + 2:
+                waiting.append([])
+            kids = tuple(reversed(waiting[depth + 1]))
+            waiting[depth + 1] = []
+            waiting[depth].append(self.number(tag, kids))
+        return waiting[0][0]
+
+    def parsed(self, text: str) -> int:
+        """The shape of a dumped tree in JSON; a worker reads each once."""
+        found = self.texts.get(text)
+        if found is None:
+            found = self.texts[text] = self.load(json.loads(text))
+            self.held += len(text) // 8
+        return found
 
     def score(self, a: int, b: int) -> int:
         """Simple tree matching: the most nodes that can be paired in order, below equal roots."""
+        stack = [(a, b)]
+        while stack:
+            x, y = stack[-1]
+            if self._known(x, y) is not None:
+                stack.pop()
+                continue
+            unknown = [(i, j) for i in self.of[x][1] for j in self.of[y][1] if self._known(i, j) is None]
+            if unknown:
+                stack += unknown
+            else:
+                self.scores[x, y] = 1 + self._table(x, y)[-1][-1]
+        return self._known(a, b)
+
+    def _known(self, a: int, b: int) -> int | None:
         if a == b:
             return self.sizes[a]
         if self.of[a][0] != self.of[b][0]:
             return 0
-        key = (a, b)
-        if key not in self.scores:
-            self.scores[key] = 1 + self._table(a, b)[-1][-1]
-        return self.scores[key]
+        return self.scores.get((a, b))
 
     def _table(self, a: int, b: int) -> list[list[int]]:
         left, right = self.of[a][1], self.of[b][1]
@@ -286,37 +335,62 @@ class Shapes:
 
     def merge(self, a: int, wrapper: int) -> int:
         """`wrapper` with the nodes of `a` that find no partner, beside the partners of their neighbours."""
-        if a == wrapper or self.of[a][0] != self.of[wrapper][0]:
-            return wrapper
-        left, right = self.of[a][1], self.of[wrapper][1]
-        out: list[int] = []
-        i = j = 0
-        for x, y in [*self.pairs(a, wrapper), (len(left), len(right))]:
-            out += right[j:y]
-            out += [k for k in left[i:x] if k not in out]
-            if x < len(left):
-                out.append(self.merge(left[x], right[y]))
-            i, j = x + 1, y + 1
-        return self.number(self.of[a][0], tuple(out))
+        done: dict[tuple[int, int], int] = {}
+        stack = [(a, wrapper)]
+        while stack:
+            own, other = stack[-1]
+            if own == other or self.of[own][0] != self.of[other][0]:
+                done[own, other] = other
+            if (own, other) in done:
+                stack.pop()
+                continue
+            left, right = self.of[own][1], self.of[other][1]
+            pairs = self.pairs(own, other)
+            waiting = [(left[x], right[y]) for x, y in pairs if (left[x], right[y]) not in done]
+            if waiting:
+                stack += waiting
+                continue
+            out: list[int] = []
+            i = j = 0
+            for x, y in [*pairs, (len(left), len(right))]:
+                out += right[j:y]
+                out += [k for k in left[i:x] if k not in out]
+                if x < len(left):
+                    out.append(done[left[x], right[y]])
+                i, j = x + 1, y + 1
+            done[own, other] = self.number(self.of[own][0], tuple(out))
+        return done[a, wrapper]
 
     def slots(self, a: int, wrapper: int) -> list[int]:
-        """For every node of `a` (a parent before its children) its partner's number in `wrapper`, or -1."""
+        """For every node of `a` (a parent before its children) its partner's number in `wrapper`, or
+        below -2 a number made of the tags that lead to it from the nearest node with a partner."""
         key = (a, wrapper)
         if key in self.slotted:
             return self.slotted[key]
-        out = [0]
-        right = self.of[wrapper][1]
-        starts = [1]
-        for k in right:
-            starts.append(starts[-1] + self.sizes[k])
-        partner = dict(self.pairs(a, wrapper))
-        for i, kid in enumerate(self.of[a][1]):
-            j = partner.get(i)
-            if j is None:
-                out += [-1] * self.sizes[kid]
-            else:
-                out += [s if s < 0 else s + starts[j] for s in self.slots(kid, right[j])]
+        out = [-1] * self.sizes[a]
+        stack: list[tuple[int, int, int | None, int]] = [(a, 0, wrapper, 0)]
+        while stack:
+            shape, at, other, slot = stack.pop()
+            out[at] = slot
+            if shape == other:
+                out[at : at + self.sizes[shape]] = range(slot, slot + self.sizes[shape])
+                continue
+            partner = {} if other is None else dict(self.pairs(shape, other))
+            right = () if other is None else self.of[other][1]
+            starts = [slot + 1]
+            for k in right:
+                starts.append(starts[-1] + self.sizes[k])
+            at += 1
+            for i, kid in enumerate(self.of[shape][1]):
+                j = partner.get(i)
+                if j is None:
+                    lonely = -3 - (crc32(f"{slot} {self.of[kid][0]}".encode("utf-8", "surrogatepass")) >> 2)
+                    stack.append((kid, at, None, lonely))
+                else:
+                    stack.append((kid, at, right[j], starts[j]))
+                at += self.sizes[kid]
         self.slotted[key] = out
+        self.held += len(out)
         return out
 
 
@@ -325,26 +399,24 @@ _SHAPES = Shapes()
 
 def _shapes() -> Shapes:
     global _SHAPES
-    if len(_SHAPES.of) + len(_SHAPES.slotted) > MOST_SHAPES:
+    if len(_SHAPES.of) + len(_SHAPES.scores) + _SHAPES.held // 16 > MOST_SHAPES:
         _SHAPES = Shapes()
     return _SHAPES
 
 
 def _node_slots(root: Node, shapes: Shapes, wrapper: int) -> dict[Node, int]:
     shape = shapes.of_node(root)
-    slots = shapes.slots(shape, wrapper) if shapes.of[shape][0] == shapes.of[wrapper][0] else [-1] * shapes.sizes[shape]
+    slots = shapes.slots(shape, wrapper)
     out: dict[Node, int] = {}
-
-    def walk(node: Node, shape: int, at: int) -> None:
+    stack = [(root, shape, 0)]
+    while stack:
+        node, shape, at = stack.pop()
         out[node] = slots[at]
         kids = shapes.of[shape][1]
         starts = [at + 1]
         for k in kids:
             starts.append(starts[-1] + shapes.sizes[k])
-        for kid, group in zip(node.kids, node.groups):
-            walk(kid, kids[group], starts[group])
-
-    walk(root, shape, 0)
+        stack += [(kid, kids[group], starts[group]) for kid, group in zip(node.kids, node.groups)]
     return out
 
 
@@ -355,10 +427,11 @@ def _article(blocks: list[tuple[Node, str, int]]) -> list[tuple[Node, str, int]]
     for node, text, _ in blocks:
         if node.article:
             if node not in top:
-                at = node
-                while at.parent is not None and at.parent.article:
+                at, path = node, [node]
+                while at not in top and at.parent is not None and at.parent.article:
                     at = at.parent
-                top[node] = at
+                    path.append(at)
+                top.update(dict.fromkeys(path, top.get(at, at)))
             volume[top[node]] += len(text)
     if volume:
         best = max(volume.values())

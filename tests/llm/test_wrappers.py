@@ -90,3 +90,15 @@ def test_large_broken_page_is_read_in_one_pass():
     html = "<div class='a" * 20_000 + "<p>" * 20_000 + "<b>x" * 20_000
     root, blocks = wrappers.parse(html)
     assert root is not None and isinstance(blocks, list)
+
+
+def test_deep_pages_go_through_the_whole_extraction(spark):
+    broken = "<div class='a" * 20_000 + "<p>" * 20_000 + "<b>x" * 20_000
+    deep = ["<article>" + "<div>" * (3000 + k) + f"text {k}" for k in range(3)]
+    mixed = "<article>" + "<div><section>" * 1500 + "<p>end"
+    got = texts(spark, [*deep, mixed, broken])
+    assert [got[k] for k in range(4)] == ["text 0", "text 1", "text 2", "end"] and 4 in got
+    shapes = wrappers.Shapes()
+    a, b = (shapes.of_node(wrappers.parse(h)[0]) for h in (deep[2], mixed))
+    assert shapes.load(shapes.dump(a)) == a and shapes.score(a, b) == shapes.score(b, a) == 3
+    assert len(shapes.slots(a, shapes.merge(a, b))) == shapes.sizes[a]
