@@ -1,13 +1,14 @@
 """Main text of web pages by wrapper induction.
 
 Pages of one host come from a few templates. For each host a wrapper tree is
-induced: the block trees of a bounded sample of its pages (about `SAMPLE_PAGES`
-chosen by a hash of the address) are aligned one after another by simple tree
-matching, and nodes that find no partner are put into the wrapper beside their
+induced: all different block trees of its pages are aligned by simple tree
+matching, about `GROUP_TREES` of them one after another and the results again in
+rounds, and nodes that find no partner are put into the wrapper beside their
 neighbours' partners. Every page of the host is then aligned to the wrapper, so
-its blocks get slots. A text that stands in one slot of more than `CONSTANT` of the
-host's different articles is template, what varies is content. These counts
+its blocks get slots. A text that stands in more than `CONSTANT` of the different
+articles that hold its slot is template, what varies is content. These counts
 cover all pages; pages with one article text count once, so copies are no template.
+Templates whose blocks have the same tags at the same place share slots there.
 
 Within the varying slots, regions that are never article text (menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles, reader comments, by
@@ -39,9 +40,9 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.arrays import small_batches
 from ledgermill.llm.languages import host_of
-from ledgermill.scale import attach, stage
+from ledgermill.scale import Scratch, attach, stage
 
-SAMPLE_PAGES = 12
+GROUP_TREES = 32
 CONSTANT = 0.6
 LEAST_ARTICLES = 5  # with fewer different articles nothing can be told constant
 LINK_SHARE = 0.5
@@ -447,8 +448,11 @@ def _mark(text: str) -> int:
 def _tree_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         shapes = _shapes()
-        trees = [json.dumps(shapes.dump(shapes.of_node(parse(h or "")[0]))) for h in batch.column("html").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(trees, pa.string())], ["host", "tree"])
+        found: dict[tuple[str, int], None] = {}
+        for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+            found[host, shapes.of_node(parse(html or "")[0])] = None
+        trees = [json.dumps(shapes.dump(shape)) for _, shape in found]
+        yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in found], pa.string()), pa.array(trees, pa.string())], ["host", "tree"])
 
 
 def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -456,12 +460,25 @@ def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for trees in batch.column("trees").to_pylist():
             shapes = _shapes()
-            numbers = sorted({shapes.load(json.loads(t)) for t in sorted(trees)}, key=lambda s: -shapes.sizes[s])
+            numbers = sorted((shapes.load(json.loads(t)) for t in sorted(trees)), key=lambda s: -shapes.sizes[s])
             wrapper = numbers[0]
             for shape in numbers[1:]:
                 wrapper = shapes.merge(shape, wrapper)
             out.append(json.dumps(shapes.dump(wrapper)))
-        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(out, pa.string())], ["host", "wrapper"])
+        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(out, pa.string())], ["host", "tree"])
+
+
+def _wrappers(trees: DataFrame, group: int, scratch: Scratch) -> DataFrame:
+    """host, tree: the different trees of each host merged in groups, and the results again, until one is left."""
+    level = scratch.stage(trees.distinct(), "trees")
+    while True:
+        counts = scratch.stage(level.groupBy("host").agg(F.count(F.lit(1)).alias("n")), "tree-counts")
+        if not counts.filter("n > 1").limit(1).count():
+            return level
+        part = F.pmod(F.xxhash64("tree"), F.ceil(F.col("n") / group)).cast("int")
+        dealt = attach(level, counts, ["host"], spread=["tree"]).withColumn("part", part)
+        grouped = dealt.groupBy("host", "part").agg(F.collect_set("tree").alias("trees"))
+        level = scratch.stage(grouped.select("host", "trees").mapInArrow(_induce, "host string, tree string").distinct(), "merged")
 
 
 def _slotted(html: str, wrapper: str | None) -> list[tuple[int, str]]:
@@ -471,20 +488,21 @@ def _slotted(html: str, wrapper: str | None) -> list[tuple[int, str]]:
     chosen = _article([b for b in blocks if not b[0].skip])
     if wrapper is None:
         return [(-1, text) for _, text, _ in chosen]
-    slots = _node_slots(root, shapes, shapes.load(json.loads(wrapper)))
-    return [(slots.get(node, -1), text) for node, text, _ in chosen]
+    slots = _node_slots(root, shapes, shapes.parsed(wrapper))
+    return [(slots[node], text) for node, text, _ in chosen]
 
 
 def _count_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """host, slot, text and article of every block, by hash; once for each article of a batch."""
+    """host, slot, text and article of every block, by hash, and with a null text the articles that
+    hold a slot; once for each article of a batch."""
     for batch in batches:
         rows = set()
         hosts = batch.column("host").to_pylist()
         for host, html, wrapper in zip(hosts, batch.column("html").to_pylist(), batch.column("wrapper").to_pylist()):
             found = _slotted(html or "", wrapper)
             article = _mark(" ".join(t for _, t in found))
-            rows.add((host, -2, 0, article))
-            rows.update((host, slot, _mark(text), article) for slot, text in found if slot >= 0)
+            rows.update((host, slot, None, article) for slot, _ in found)
+            rows.update((host, slot, _mark(text), article) for slot, text in found)
         columns = list(zip(*rows)) if rows else [(), (), (), ()]
         kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64()]
         yield pa.RecordBatch.from_arrays(
@@ -510,22 +528,17 @@ def _extract(keep: list[str]):
 
 def extract_main_text(
     pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
-    sample: int = SAMPLE_PAGES, constant: float = CONSTANT, least: int = LEAST_ARTICLES,
+    group: int = GROUP_TREES, constant: float = CONSTANT, least: int = LEAST_ARTICLES,
 ) -> DataFrame:
     """page_id, url, text and n_chars of every row of `pages`."""
     small_batches(pages.sparkSession)
     rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html")).withColumn(
         "host", F.coalesce(F.concat(F.lit("="), host_of(F.col("url"))), F.lit(""))
     )
-    hosts = stage(rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "hosts")
-    bucket = F.pmod(F.xxhash64(F.lit("sample"), "url", "page_id"), F.lit(1_000_000))
     spread = [F.col("page_id"), F.col("url")]
-    chosen = attach(rows, hosts, ["host"], spread=spread).filter(bucket * F.col("pages") <= sample * 1_000_000)
-    trees = chosen.select("host", "html").mapInArrow(_tree_of, "host string, tree string")
-    wrappers = stage(
-        trees.groupBy("host").agg(F.collect_set("tree").alias("trees")).mapInArrow(_induce, "host string, wrapper string"),
-        "wrappers",
-    )  # about `sample` trees a host
+    trees = rows.select("host", "html").mapInArrow(_tree_of, "host string, tree string")
+    with Scratch(pages.sparkSession) as scratch:
+        wrappers = stage(_wrappers(trees, group, scratch).select("host", F.col("tree").alias("wrapper")), "wrappers")
     wrapped = attach(rows, wrappers, ["host"], spread=spread)
     counts = stage(
         wrapped.select("host", "html", "wrapper")
@@ -533,8 +546,8 @@ def extract_main_text(
         .groupBy("host", "slot", "text").agg(F.count_distinct("article").alias("articles")),
         "slot-texts",
     )
-    totals = counts.filter("slot = -2").select("host", F.col("articles").alias("all")).filter(F.col("all") >= least)
-    common = counts.filter((F.col("slot") >= 0) & (F.col("articles") >= least)).join(totals, "host").filter(
+    holders = counts.filter("text IS NULL").select("host", "slot", F.col("articles").alias("all"))
+    common = counts.filter(F.col("text").isNotNull() & (F.col("articles") >= least)).join(holders, ["host", "slot"]).filter(
         F.col("articles") > F.col("all") * constant
     )
     constants = stage(

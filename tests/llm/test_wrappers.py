@@ -102,3 +102,25 @@ def test_deep_pages_go_through_the_whole_extraction(spark):
     a, b = (shapes.of_node(wrappers.parse(h)[0]) for h in (deep[2], mixed))
     assert shapes.load(shapes.dump(a)) == a and shapes.score(a, b) == shapes.score(b, a) == 3
     assert len(shapes.slots(a, shapes.merge(a, b))) == shapes.sizes[a]
+
+
+def test_constant_texts_of_two_templates_and_of_a_rare_one(spark):
+    def body(k):
+        own = f"<h1>{sentence(k, 5)}</h1><p>{sentence(k + 500, 20)}</p>"
+        if k % 2:
+            return f"<article>{own}<div><span>Read our rules first.</span></div></article>"
+        if k % 20 == 0:
+            return f"<article><section><ol><li>Printed with leave.</li></ol></section>{own}</article>"
+        return f"<article><table><tr><td>All rights are ours.</td></tr></table>{own}</article>"
+
+    got = texts(spark, [page(body(k), k) for k in range(200)])
+    assert got == {k: f"{sentence(k, 5)} {sentence(k + 500, 20)}" for k in range(200)}
+
+
+def test_wrapper_covers_every_shape_of_a_host(spark):
+    def body(k):  # 40 shapes, merged in rounds of three
+        return "".join(f"<{t}>{sentence(10 * k + i, 6)}</{t}>" for i, t in enumerate(("h2", "p", "ul", "ol", "dl", "table")) if k >> i & 1)
+
+    pages = [page(f"<article><h1>{sentence(k + 900, 5)}</h1>{body(k)}<pre>End of page.</pre></article>", k) for k in range(40)]
+    got = texts(spark, pages, group=3)
+    assert all(got[k] and "End of page." not in got[k] for k in range(40))
