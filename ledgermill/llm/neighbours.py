@@ -18,14 +18,15 @@ force over all rows, and the ratio is the least that reaches all but
 
 Lists of any length are dealt to tiles of at most about `LIST_ROWS` vectors and
 `QUERY_ROWS` queries, so a vector that occurs in a third of the rows makes more
-tiles and no large one. A tile computes scores in double precision, summed in
-component order, and returns the best of each query. Queries with fewer answers
-than there could be search all lists.
+tiles and no large one; parts are told by id and vector, so an id of many different
+vectors is spread too. A tile computes scores in double precision, summed in
+component order, and returns the best different ids of each query. Queries with fewer
+answers than there could be search all lists.
 
 Vectors that are null, zero, or hold null or non-finite components take no part,
 nor do those whose length is not the most frequent one, nor rows without an id.
-Rows that share the query's id are its own; another id counts once with its best
-score. Ties go to the smaller id. Other columns are ignored; without vectors
+Equal rows are one row. Rows that share the query's id are its own; another id counts
+once with its best score. Ties go to the smaller id. Other columns are ignored; without vectors
 the result is empty.
 """
 
@@ -192,6 +193,13 @@ def exact_scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return out
 
 
+def _by_id(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For sorted ids, where each different one begins and the number of each row's among them."""
+    new = np.diff(ids, prepend=ids[:1]) != 0
+    new[:1] = True
+    return np.flatnonzero(new), np.cumsum(new) - 1
+
+
 def _best_of_tiles(k: int):
     def work(table: pa.Table) -> pa.RecordBatch | None:
         tiles = table.column("tile").to_numpy()
@@ -206,16 +214,22 @@ def _best_of_tiles(k: int):
             if not len(q) or not len(v):
                 continue
             v = v[np.argsort(ids[v], kind="stable")]
+            firsts, one_id = _by_id(ids[v])
             for at in range(0, len(q), 64):
                 rows = q[at : at + 64]
                 values = x[rows] @ x[v].T  # near enough to leave out all but the best
                 values[ids[rows][:, None] == ids[v]] = -np.inf
-                least = np.partition(values, len(v) - k, axis=1)[:, len(v) - k] if len(v) > k else -np.inf
+                tops = np.maximum.reduceat(values, firsts, axis=1)
+                n = len(firsts)
+                least = np.partition(tops, n - k, axis=1)[:, n - k] if n > k else np.full(len(rows), -np.inf)
                 slack = ERROR * np.sqrt((x[rows] ** 2).sum(axis=1).max() * (x[v] ** 2).sum(axis=1).max())
-                at_q, at_v = np.nonzero((values >= np.reshape(least, (-1, 1)) - slack) & (values > -np.inf))
+                wanted = np.maximum(tops, least[:, None])[:, one_id]  # of each id what may be its best
+                at_q, at_v = np.nonzero((values >= wanted - slack) & (values > -np.inf))
                 exact = pair_scores(x[rows][at_q], x[v][at_v])
                 order = np.lexsort((at_v, -exact, at_q))  # ties stay in order of id
                 at_q, at_v, exact = at_q[order], at_v[order], exact[order]
+                once = np.sort(np.unique(at_q * n + one_id[at_v], return_index=True)[1])  # the best row of an id
+                at_q, at_v, exact = at_q[once], at_v[once], exact[once]
                 first = np.searchsorted(at_q, np.arange(len(rows)))
                 kept = np.arange(len(at_q)) - first[at_q] < k
                 queries.append(ids[rows])
@@ -262,7 +276,7 @@ def _search(lists: DataFrame, sizes: DataFrame, asked: DataFrame, k: int) -> Dat
     )  # MOST_LISTS rows at most
 
     def dealt(rows: DataFrame, own: str, other: str, asks: bool) -> DataFrame:
-        mine = F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
+        mine = F.pmod(F.xxhash64("id", "vector"), F.col(own)).cast("int")
         rows = rows.join(F.broadcast(plan), "list").withColumn("mine", mine).withColumn(
             "theirs", F.explode(F.sequence(F.lit(0), F.col(other) - 1))
         )
@@ -282,7 +296,11 @@ def _brute(trials, k: int):
             for at in range(0, batch.num_rows, TILE_ROWS):
                 part = batch.slice(at, TILE_ROWS)
                 ids = part.column("id").to_numpy()
-                values = queries @ _matrix(part.column("vector")).T
+                by_id = np.argsort(ids, kind="stable")
+                ids = ids[by_id]
+                firsts, _ = _by_id(ids)
+                values = np.maximum.reduceat(queries @ _matrix(part.column("vector"))[by_id].T, firsts, axis=1)
+                ids = ids[firsts]
                 values[own[:, None] == ids] = -np.inf
                 best = np.argsort(-values, axis=1, kind="stable")[:, :k]
                 yield pa.RecordBatch.from_arrays(
@@ -299,14 +317,16 @@ def _brute(trials, k: int):
 
 def _ratio(rows: DataFrame, queries: DataFrame, lists: DataFrame, index: Index, k: int, recall: float) -> float:
     """The least ratio of distances at which `recall` of the true neighbours of some queries are reached."""
-    trials = queries.orderBy(F.xxhash64(F.lit("trial"), "id"), "id").limit(TRIALS).toArrow()
+    # One vector of each id, so that an id of many vectors does not make all trials.
+    once = queries.groupBy("id").agg(F.min_by("vector", F.xxhash64("vector")).alias("vector"))
+    trials = once.orderBy(F.xxhash64(F.lit("trial"), "id"), "id").limit(TRIALS).toArrow()
     if not trials.num_rows:
         return 1.0
     own, x = trials.column("id").to_numpy(), _matrix(trials.column("vector"))
     sent = rows.sparkSession.sparkContext.broadcast((own, x))
     true = _top(rows.mapInArrow(_brute(sent, k), "query_id bigint, vec_id bigint, score double"), k)
     held = true.filter(F.col("score") > float("-inf")).join(lists.select(F.col("id").alias("vec_id"), "list"), "vec_id")
-    held = held.select("query_id", "vec_id", "list").toArrow()  # TRIALS * k * REPLICAS rows at most, for distinct ids
+    held = held.select("query_id", "vec_id", "list").distinct().toArrow()  # TRIALS * k times the lists of an id at most
     if not held.num_rows:
         return 1.0
     far = _distances(np.column_stack([x, np.zeros(len(x))]), index.centroids)
@@ -330,12 +350,14 @@ def nearest(
     widest = widths.orderBy(F.desc("n"), "width").first()
     if widest is None:
         return spark.createDataFrame([], schema)
-    rows = usable.filter(F.size("vector") == widest.width).select("id", "vector")
+    # Equal rows are one: repeats would only take up places among the best.
+    rows = stage(usable.filter(F.size("vector") == widest.width).select("id", "vector").distinct(), "vectors")
+    n_rows = rows.count()
     most = min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * widest.width))
-    bucket = F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1_000_000))
+    bucket = F.pmod(F.xxhash64(F.lit("sample"), "id", "vector"), F.lit(1_000_000))
     # The hash picks about nine tenths of `most`; the limit only makes the bound certain.
-    sample = rows.filter(bucket < int(1e6 * min(1.0, 0.9 * most / widest.n)) + 1).select("vector").limit(most).toArrow()
-    fitted = fit(_matrix(sample.column("vector")), widest.n, widest.norm)
+    sample = rows.filter(bucket < int(1e6 * min(1.0, 0.9 * most / n_rows)) + 1).select("vector").limit(most).toArrow()
+    fitted = fit(_matrix(sample.column("vector")), n_rows, widest.norm)
     index = spark.sparkContext.broadcast(fitted)
     placed = "id bigint, vector array<double>, lists array<int>"
     lists = stage(

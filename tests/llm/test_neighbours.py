@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgermill.llm import neighbours
@@ -71,3 +72,36 @@ def test_short_answers_search_all_lists(spark, monkeypatch):
     rows = neighbours.nearest(table(spark, x), lambda i: i % 40 == 0, k=150, recall=0.05).collect()
     assert len(rows) == 5 * 150
     assert [(r.vec_id, r.score) for r in sorted(rows) if r.query_id == 40] == brute(x, 40, 150)
+
+
+def test_repeated_ids_hide_no_others(spark):
+    random = np.random.default_rng(4)
+    x = np.concatenate([random.normal(size=(40, 6)) + 4, random.normal(size=(90, 6)) + 5])
+    ids = [*range(40), *[500] * 30, *[501] * 30, *[2] * 30]  # ids of many different vectors
+    rows = [(i, [float(c) for c in v], 0, 1, "x") for i, v in zip(ids, x)]
+    rows += [(7, [50.0] * 6, 0, 1, "x")] * 60  # and one of equal rows, the best of all
+    got = neighbours.nearest(spark.createDataFrame(rows, SCHEMA), lambda i: i % 10 == 0, k=12).collect()
+    found = {}
+    for r in sorted(got):
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    at = np.array([r[0] for r in rows])
+    x = np.array([r[1] for r in rows], np.float32).astype(float)
+    assert sorted(found) == [0, 10, 20, 30, 500]
+    for q in found:
+        best = {}
+        for i, s in zip(at, neighbours.exact_scores(x[at == q], x).max(axis=0)):
+            if i != q:
+                best[int(i)] = max(s, best.get(int(i), -np.inf))
+        assert found[q] == sorted(best.items(), key=lambda p: (-p[1], p[0]))[:12]
+
+
+def test_brute_force_keeps_different_ids():
+    batch = pa.RecordBatch.from_pydict(
+        {"id": [9] * 5 + [1, 2, 3], "vector": [[5.0 + i, 0.0] for i in range(5)] + [[1.0, 0.0], [2.0, 0.0], [3.0, 0.0]]}
+    )
+
+    class Sent:
+        value = np.array([2]), np.array([[1.0, 0.0]])
+
+    out = next(neighbours._brute(Sent, 3)(iter([batch]))).to_pydict()
+    assert list(zip(out["vec_id"], out["score"])) == [(9, 9.0), (3, 3.0), (1, 1.0)]
