@@ -7,8 +7,10 @@ the text holds twice or more.
 The method then hashes every normalised line (lower case, words joined by one
 space, digits as one sign) and counts in how many different texts of a host it
 stands; copies of a text count once. A line in more than `LINE_DOCS` texts and
-more than `LINE_SHARE` of its host's texts is common and is removed. A document
+more than `LINE_SHARE` of its host's texts is common and is removed with its line feed (at the
+end of a text with the one before), from the spans kept beside the hashes. A document
 is depleted, and rejected, if less than `LEFT_SHARE` of its word characters stay.
+`without_common_lines` returns the texts, `line_quality` the figures alone.
 
 Counts are grouped sums over all rows; a batch sends each line once per host, so a
 host with a third of all rows sends partial counts. The common lines of a host
@@ -102,6 +104,8 @@ class TextFigures:
         lines = line_of[first_word]
         line_owner = owner[first_word]
         stops = np.append(line_starts[1:], len(data))[lines]
+        self.line_start = line_starts[lines] - offsets[:-1][line_owner]  # bytes of the text, with the feed
+        self.line_stop = stops - offsets[:-1][line_owner]
         stops = stops - ((stops > 0) & feed[np.maximum(stops - 1, 0)])
         raw = span_hash(prefix_hash(data), line_starts[lines], stops)
         self.n_dup_lines = np.bincount(line_owner, _again(line_owner, raw, True), n).astype(np.int64)
@@ -113,10 +117,6 @@ class TextFigures:
         sums = np.zeros(len(words) + 1, np.uint64)
         np.cumsum(spread, out=sums[1:])
         self.line_hash = (sums[last_word] - sums[first_word]).view(np.int64)
-        chars = np.zeros(len(data) + 1, np.int64)
-        np.cumsum(points & ~SPACES[data], out=chars[1:])
-        per_word = np.concatenate([[0], np.cumsum(chars[ends] - chars[starts])])
-        self.line_chars = per_word[last_word] - per_word[first_word]
         self.line_owner = line_owner
 
 
@@ -125,22 +125,59 @@ def _figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, "text"):
             f = TextFigures(part.column("text"))
             lines = np.searchsorted(f.line_owner, np.arange(part.num_rows + 1))
-            structs = pa.StructArray.from_arrays([pa.array(f.line_hash), pa.array(f.line_chars)], ["line", "chars"])
+            structs = pa.StructArray.from_arrays(
+                [pa.array(f.line_hash), pa.array(f.line_start, pa.int64()), pa.array(f.line_stop, pa.int64())], ["line", "start", "stop"]
+            )
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id"), part.column("mark"), part.column("host"),
+                    part.column("doc_id"), part.column("mark"), part.column("host"), part.column("text"),
                     *[pa.array(x) for x in (f.n_words, f.word_chars, f.n_symbols, f.n_dup_lines, f.n_repeat_words)],
                     pa.ListArray.from_arrays(pa.array(lines, pa.int32()), structs),
                 ],
-                ["doc_id", "mark", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines"],
+                ["doc_id", "mark", "host", "text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines"],
             )
 
 
-def line_quality(
+def cut_lines(texts: pa.Array, spans: pa.ListArray) -> pa.Array:
+    """Each text without its spans (start and stop in bytes, lines with their feeds)."""
+    data, offsets = as_bytes(texts)
+    n = np.asarray(pc.fill_null(pc.list_value_length(spans), 0)).astype(np.int64)
+    flat = spans.flatten()
+    owner = np.repeat(np.arange(len(n)), n)
+    starts = np.asarray(flat.field("start"), np.int64) + offsets[owner]
+    stops = np.asarray(flat.field("stop"), np.int64) + offsets[owner]
+    steps = np.zeros(len(data) + 1, np.int64)
+    np.add.at(steps, starts, 1)
+    np.add.at(steps, stops, -1)
+    stays = np.cumsum(steps[:-1]) == 0
+    # A last line has no feed of its own; the one before the first line that goes with it ends the text no more.
+    ends = np.unique(owner[(stops == offsets[owner + 1]) & (data[stops - 1] != 10)])
+    left = np.concatenate([[0], np.cumsum(stays)])
+    ends = ends[left[offsets[ends + 1]] > left[offsets[ends]]]
+    stays[np.searchsorted(left, left[offsets[ends + 1]], "left") - 1] = False
+    cuts = np.concatenate([[0], np.cumsum(stays)])[offsets]
+    return pa.LargeStringArray.from_buffers(len(n), pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data[stays])).cast(pa.string())
+
+
+def _cut(keep: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                texts = cut_lines(part.column("text"), part.column("gone"))
+                data, offsets = as_bytes(texts)
+                left = _per_text(~_CONTINUES[data] & ~SPACES[data], offsets)
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c) for c in keep], texts, pa.array(left, pa.int64())], [*keep, "text", "left_chars"]
+                )
+
+    return run
+
+
+def without_common_lines(
     docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",
     line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE, left_share: float = LEFT_SHARE,
 ) -> DataFrame:
-    """The base figures of every row, base_failed, the word characters outside common lines, and kept."""
+    """The text of every row without the common lines of its host, and what `line_quality` returns."""
     small_batches(docs.sparkSession)
     named = docs.select(
         F.col(key).alias("doc_id"),
@@ -151,8 +188,8 @@ def line_quality(
     figures = stage(
         named.mapInArrow(
             _figures,
-            f"doc_id {kind}, mark bigint, host string, n_words bigint, word_chars bigint, n_symbols bigint, "
-            "n_dup_lines bigint, n_repeat_words bigint, lines array<struct<line: bigint, chars: bigint>>",
+            f"doc_id {kind}, mark bigint, host string, text string, n_words bigint, word_chars bigint, n_symbols bigint, "
+            "n_dup_lines bigint, n_repeat_words bigint, lines array<struct<line: bigint, start: bigint, stop: bigint>>",
         ),
         "line-figures",
     )
@@ -166,14 +203,23 @@ def line_quality(
         common.groupBy("host").agg(F.collect_set("line").alias("common")), "common-lines"
     )  # at most mean lines per text / line_share for each host
     rows = attach(figures, per_host, ["host"], spread=[F.col("doc_id"), F.col("mark")])
-    gone = F.aggregate(
-        F.filter("lines", lambda x: F.array_contains(F.col("common"), x["line"])),
-        F.lit(0).cast("bigint"), lambda total, x: total + x["chars"],
-    )
-    left = F.col("word_chars") - F.coalesce(gone, F.lit(0))
+    gone = F.filter("lines", lambda x: F.array_contains(F.col("common"), x["line"]))
+    spans = F.transform(gone, lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop")))
+    kept = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    cut = rows.select(*kept, "text", F.coalesce(spans, F.array().cast("array<struct<start: bigint, stop: bigint>>")).alias("gone"))
+    cut = cut.mapInArrow(
+        _cut(kept),
+        f"doc_id {kind}, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
+        "n_repeat_words bigint, text string, left_chars bigint",
+    )
     failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * REPEAT_PERCENT)
-    return rows.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), left.alias("left_chars"),
-        (~failed & (left >= F.col("word_chars") * left_share)).alias("kept"),
+    return cut.select(
+        *kept, "text", failed.alias("base_failed"), "left_chars",
+        (~failed & (F.col("left_chars") >= F.col("word_chars") * left_share)).alias("kept"),
     )
+
+
+def line_quality(docs: DataFrame, **options) -> DataFrame:
+    """The base figures of every row, base_failed, the word characters outside common lines, and kept;
+    options as for `without_common_lines`."""
+    return without_common_lines(docs, **options).drop("text")

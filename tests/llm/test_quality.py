@@ -64,3 +64,31 @@ def test_copies_do_not_make_lines_common(spark):
 
 def test_empty_table(spark):
     assert line_quality.line_quality(empty(spark)).collect() == []
+
+
+def test_texts_lose_their_common_lines(spark):
+    def norm(line):
+        return tuple(WORD.findall("".join("0" if c in "0123456789" else c.lower() for c in line)))
+
+    rows = awkward()
+    for k in range(40):
+        own = sentence(k, 8) + " été 😀"
+        rows.append(row(20 + 3 * k, f"Read More 1{k % 7}\n\n{own}\nSubscribe now"))
+        rows.append(row(21 + 3 * k, f"{own}\r\nread   more 22\nSUBSCRIBE NOW\n" if k % 2 else "Read more 12\nSubscribe now"))
+        rows.append(row(22 + 3 * k, f"{own}\n\nSubscribe now\n\n", source="b" if k % 2 else None))
+    rows.append(row(500, "Subscribe now"))
+    docs = defaultdict(set)
+    texts = defaultdict(set)
+    for r in rows:
+        texts[r[3]].add(r[1] or "")
+        for line in (r[1] or "").split("\n"):
+            docs[r[3], norm(line)].add(r[1])
+    want = {}
+    for r in rows:
+        lines = (r[1] or "").split("\n")
+        stay = [x for x in lines if not norm(x) or not (len(docs[r[3], norm(x)]) > 6 and len(docs[r[3], norm(x)]) > 0.05 * len(texts[r[3]]))]
+        want[r[0]] = "\n".join(stay)
+    got = line_quality.without_common_lines(frame(spark, rows), line_docs=6, line_share=0.05).collect()
+    assert {r.doc_id: r.text for r in got} == want
+    assert want[20] == "\n" + sentence(0, 8) + " été 😀" and want[500] == ""
+    assert all(r.left_chars == sum(map(len, WORD.findall(want[r.doc_id]))) for r in got)
