@@ -17,11 +17,14 @@ are broadcast while small (measured) and else joined with salted hot keys.
 
 A row is rejected if its best hypothesis is no known language, if the best
 language has a posterior under `floor`, or if its text has no letter: then the
-language is null, as it is for null and empty texts. Null declarations and hosts
+language is null, as it is for null and empty texts. But the text model knows only
+declared languages of `LEAST_DOCS` rows and more, at most the `MOST_LANGUAGES` most
+frequent; a row with letters that declares another one is not rejected for its text: where
+it would be, it keeps its declaration, with a null posterior. Null declarations and hosts
 are values of their own; an address without a suffix has the empty one. Rows are
 judged one by one, so repeated rows get equal results. Added columns get
-underscores until their names are free. Without any declared language in the
-table nothing can be fitted and every row is rejected; an empty table stays empty.
+underscores until their names are free. Without any language to learn nothing can be
+fitted, and every row without a declaration is rejected; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -238,8 +241,10 @@ def identify_languages(
     evidence = {d: F.coalesce(F.concat(F.lit("="), declared), F.lit("")), h: F.coalesce(F.concat(F.lit("="), host), F.lit(""))}
     model = fit_text_model(docs.select(F.col(key), text.alias(t), declared.alias(d)), t, d, key)
     if model is None:
-        return docs.withColumns(
-            {language: F.lit(None).cast("string"), confidence: F.lit(None).cast("double"), rejected: F.lit(True)}
+        lettered = (F.octet_length(text) >= 3) & text.rlike(r"[A-Za-z]{2}|[^\x00-\x7F]")
+        said = F.when(lettered & (declared != ""), declared)
+        return docs.withColumns({language: said, confidence: F.lit(None).cast("double"), rejected: said.isNull()}).select(
+            *docs.columns, *names
         )
     kinds = len(model.languages) + 1  # the last is none that is known
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -278,8 +283,15 @@ def identify_languages(
     known = F.get(F.array(*[F.lit(x) for x in [*model.languages, None]]), F.col(post)["best"] - 1)
     rows = rows.withColumns({language: known, confidence: F.col(post)["confidence"]})
     refused = F.col(language).isNull() | (F.col(confidence) < floor)
-    return rows.withColumn(rejected, refused).withColumn(
-        language, F.when(~F.col(rejected), F.col(language))
+    # The text tells nothing about a language that was not learned.
+    unlearned = F.coalesce((declared != "") & ~declared.isin(model.languages), F.lit(False)) & F.col(post).isNotNull()
+    said = refused & unlearned
+    return rows.withColumns(
+        {
+            language: F.when(said, declared).when(~refused, F.col(language)),
+            confidence: F.when(~said, F.col(confidence)),
+            rejected: refused & ~unlearned,
+        }
     ).select(*docs.columns, *names)
 
 

@@ -67,3 +67,15 @@ def test_addresses_and_markup(spark):
     html = ['<!doctype html><HTML class=a lang="pt-BR">', "<html lang=de>", "<html><p lang=fr>", None]
     found = spark.createDataFrame([(h,) for h in html], "h string").select(languages.declared_in(F.col("h")).alias("d"))
     assert [r.d for r in found.collect()] == ["pt", "de", None, None]
+
+
+def test_rows_of_languages_that_were_not_learned_are_kept(spark, docs):
+    greek = "Το γρήγορο καφέ αλεπού πηδά πάνω από τον τεμπέλη σκύλο "
+    rows = [row(r.doc_id + 100, r.text, r.lang, r.source) for r in docs.collect()]
+    rare = [row(1, greek * 5, "el", "h"), row(2, greek * 5, None, "h"), row(3, "123 !", "el", "h"), row(4, None, "el", "h")]
+    got = {r.doc_id: r for r in languages.identify_languages(frame(spark, rows + rare)).filter("doc_id < 100").collect()}
+    assert (got[1].language_, got[1].confidence, got[1].rejected) == ("el", None, False)
+    assert all(got[k].rejected and got[k].language_ is None for k in (2, 3, 4))
+    few = {r.doc_id: r for r in languages.identify_languages(frame(spark, rare)).collect()}  # nothing learned
+    assert [(few[k].language_, few[k].rejected) for k in (1, 2, 3, 4)] == [("el", False), *[(None, True)] * 3]
+    assert [r.doc_id for r in languages.kept_languages(frame(spark, rare)).collect()] == [1]
