@@ -6,8 +6,23 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from ledgermill.llm import bpe, jaccard, languages, licenses, line_quality, mixing, neighbours, repeats, token_counts, wrappers
+from pyspark.sql import functions as F
+
+from ledgermill.llm import (
+    bpe,
+    jaccard,
+    languages,
+    licenses,
+    line_dedup,
+    line_quality,
+    mixing,
+    neighbours,
+    prefix_trie,
+    repair,
+    repeats,
+    token_counts,
+    wrappers,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,3 +89,24 @@ def op7_language_fusion(spark, sf_dir):
 @query
 def op9_poisson_mix(spark, sf_dir):
     return mixing.poisson_mix(read(spark, sf_dir, "documents"), power=MIX_POWER)
+
+
+@query
+def op11_auction_repair(spark, sf_dir):
+    found = repair.repair_figures(repair.damaged(read(spark, sf_dir, "conversations")))
+    return found.select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
+    )
+
+
+@query
+def op12_prefix_ranges(spark, sf_dir):
+    convs = prefix_trie.with_shared_heads(prefix_trie.paths(read(spark, sf_dir, "conversations")))
+    ends = F.coalesce("ends", F.sha2(F.lit(""), 256)).alias("ends_sha256")
+    return prefix_trie.prefix_nodes(convs).select("*", ends).drop("ends")
+
+
+@query
+def op13_line_dedup(spark, sf_dir):
+    found = line_dedup.without_repeated_lines(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
