@@ -272,7 +272,7 @@ class Block:
         np.minimum.at(low, up, figures["low"][done])
         out: list[list[dict]] = [[], []]
         for x in np.flatnonzero(open_nodes).tolist():
-            out[x >= self.first[1]].append(
+            out[int(x >= self.first[1])].append(
                 {"depth": int(self.depth[x]), "low": None if low[x] == _NONE else int(low[x]), "ends": self.ends[x]}
                 | {name: int(own[name][x]) for name in _SUMS}
             )
