@@ -336,14 +336,11 @@ def _cut(kept: list[tuple[str, str]], digest: bool):
                     rest = b"".join(body[a:b] for a, b in zip(edges[::2], edges[1::2]))
                 rows.append((len(body), len(body) - len(rest), len(low), rest))
             sizes = [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]
-            last = (
-                pa.array([hashlib.sha256(r[3]).hexdigest() for r in rows], pa.string())
-                if digest
-                else pa.array([r[3].decode("utf-8", "ignore") for r in rows], pa.string())
-            )
+            rest = pa.array([r[3].decode("utf-8", "ignore") for r in rows], pa.string())
+            digests = pa.array([hashlib.sha256(r[3]).hexdigest() if digest else None for r in rows], pa.string())
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n, _ in kept], *sizes, last],
-                [*[n for n, _ in kept], "_n_bytes", "_n_removed", "_n_spans", "_rest"],
+                [*[batch.column(n) for n, _ in kept], *sizes, digests, rest],
+                [*[n for n, _ in kept], "_n_bytes", "_n_removed", "_n_spans", "_sha256", "_rest"],
             )
 
     return run
@@ -363,16 +360,17 @@ def _removed(docs: DataFrame, key: str, text: str, keep: list[str], digest: bool
         F.xxhash64(plain).alias("_mark"),
     ).join(cuts, ["_doc", "_mark"], "left")
     kept = [(f"c{i}", dict(docs.dtypes)[c]) for i, c in enumerate(keep)]
-    schema = ", ".join([*[f"{n} {t}" for n, t in kept], "_n_bytes bigint, _n_removed bigint, _n_spans bigint, _rest string"])
+    schema = ", ".join([*[f"{n} {t}" for n, t in kept], "_n_bytes bigint, _n_removed bigint, _n_spans bigint, _sha256 string, _rest string"])
     return rows.select(*[n for n, _ in kept], "_body", "_cuts").mapInArrow(_cut(kept, digest), schema)
 
 
 def repeat_digests(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and the SHA-256 of the bytes that stay."""
+    """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), the SHA-256 of the bytes that stay, and their text
+    without characters of which only a part stays."""
     out = _removed(docs, key, text, [key], True, **options)
     return out.select(
         F.col("c0").alias("doc_id"), F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"),
-        F.col("_n_spans").alias("n_spans"), F.col("_rest").alias("kept_sha256"),
+        F.col("_n_spans").alias("n_spans"), F.col("_sha256").alias("kept_sha256"), F.col("_rest").alias("text"),
     )
 
 
