@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from ledgermill.catalog import ledger
 from ledgermill.catalog.ledger import ALIASES, CATEGORIES, PATTERNS, TRAINING
-from ledgermill.catalog.queries import TEXT_KEYWORDS
+from ledgermill.catalog.queries import LOST_METHOD, LOST_PARTIES, NEGATED, NULLED, TEXT_KEYWORDS
+from ledgermill.operators.rules import PAYMENT_METHODS
 from ledgermill.sources.exports import BUSINESS_COLUMNS
 
 JOINED = """joined AS (
@@ -354,13 +355,64 @@ def reconciliation(where: str = "true") -> str:
     return check("reconciliation", f"({gap})::INT", f"fact_expenses WHERE {where}")
 
 
+_METHODS = "(VALUES " + ", ".join(f"({quote(m)})" for m in PAYMENT_METHODS) + ") v(m)"
+_EXCLUDED = "(SELECT coalesce(sum(abs(transaction_amount)), 0) FROM silver WHERE NOT include_in_expense)"
+_PAIRS = ", ".join(f"({quote(c)}, {quote(x)})" for c, subs in CATEGORIES.items() for x in subs)
+_CATEGORY_ROWS = f"(VALUES {_PAIRS}, ('Unclassified', 'Unclassified')) c(category, subcategory)"
+_MONTHS = f"""{STAR}, named AS (SELECT DISTINCT category, {SK} AS sk FROM {_CATEGORY_ROWS}),
+months AS (SELECT CAST(date_sk // 10000 AS INT) AS year, CAST(date_sk // 100 % 100 AS INT) AS month, category, amount
+           FROM fact_expenses JOIN named ON sk = category_sk)"""
+
+
+_STAR_SIZES = f"""{STAR} SELECT 'fact_expenses' AS table_name, count(*) AS n FROM fact_expenses
+            UNION ALL SELECT 'fact_income', count(*) FROM fact_income
+            UNION ALL SELECT 'dim_category', {N_CATEGORIES}
+            UNION ALL SELECT 'dim_date', date_diff('day', make_date(CAST(min(year(transaction_date)) AS INT), 1, 1),
+              make_date(CAST(max(year(transaction_date)) AS INT), 12, 31)) + 1 FROM silver
+            UNION ALL SELECT 'dim_counterparty', count(*) FROM parties
+            UNION ALL SELECT 'dim_payment_method', 7"""
+_TYPED_BY_YEAR = f"""WITH {RAW}, {TYPED} SELECT CAST(year(transaction_date) AS INT) AS year, count(*) AS n,
+  CAST(sum(transaction_amount) AS DOUBLE) AS amount FROM (@rows) WHERE transaction_date IS NOT NULL GROUP BY 1"""
+
+
+def _broken_gate() -> str:
+    def orphans(name: str, fact: str, lost: str) -> str:
+        return check(name, f"count(*) FILTER (WHERE {lost})", fact)
+
+    keys = "date_sk, counterparty_sk, category_sk, payment_method_sk"
+    other_year = "(date_sk IS NULL OR date_sk // 10000 > (SELECT min(year) FROM calendar))"
+    nulled = "category_sk IS NULL"
+    checks = [
+        check("dim_category.category_sk unique", "count(*)", f"{_CATEGORY_ROWS} WHERE {SK} <> 'unclassified'"),
+        check("dim_counterparty.counterparty_sk unique", "count(*)", f"parties WHERE NOT {LOST_PARTIES}"),
+        check("dim_date.date_sk unique", "count(*)", "calendar WHERE year = (SELECT min(year) FROM calendar)"),
+        check("dim_payment_method.payment_method_sk unique", "count(*)", f"{_METHODS} WHERE m <> {quote(LOST_METHOD)}"),
+        orphans("fact_expenses.category_sk in dim_category", "spent", f"{nulled} OR category_sk = 'unclassified'"),
+        orphans("fact_expenses.counterparty_sk in dim_counterparty", "spent", LOST_PARTIES),
+        orphans("fact_expenses.date_sk in dim_date", "spent", other_year),
+        orphans("fact_expenses.payment_method_sk in dim_payment_method", "spent", f"payment_method_sk = {quote(LOST_METHOD)}"),
+        orphans("fact_income.counterparty_sk in dim_counterparty", "earned", LOST_PARTIES),
+        orphans("fact_income.date_sk in dim_date", "earned", other_year),
+        orphans(f"fact_expenses non-null ({keys})", "spent", nulled),
+        orphans("fact_income non-null (date_sk, counterparty_sk)", "earned", "date_sk IS NULL"),
+        orphans("fact_expenses.amount >= 0", "spent", "amount < 0"),
+        check("fact_expenses dates in dim_date", "(max(date_sk) // 10000 > (SELECT min(year) FROM calendar))::INT", "spent"),
+        check("fact_income dates in dim_date", "coalesce(max(date_sk) // 10000 > (SELECT min(year) FROM calendar), false)::INT", "earned"),
+        reconciliation().replace("FROM fact_expenses", "FROM spent"),
+    ]
+    spent = f"""spent AS (SELECT * REPLACE (CASE WHEN NOT ({NULLED}) THEN category_sk END AS category_sk,
+      CASE WHEN {NEGATED} THEN -amount ELSE amount END AS amount) FROM fact_expenses)"""
+    earned = f"earned AS (SELECT * REPLACE (CASE WHEN NOT ({NULLED}) THEN date_sk END AS date_sk) FROM fact_income)"
+    return f"{STAR}, {CALENDAR}, {spent}, {earned} " + " UNION ALL ".join(checks)
+
+
 def _gate() -> str:
     def anti(fact: str, key: str, dim: str) -> str:
         known = {
-            "dim_category": f"(SELECT {category_sk('category', 'subcategory')} AS k FROM labels UNION SELECT 'unclassified')",
+            "dim_category": f"(SELECT {SK} AS k FROM {_CATEGORY_ROWS})",
             "dim_counterparty": "(SELECT counterparty_sk AS k FROM parties)",
-            "dim_date": "(SELECT date_sk AS k FROM fact_expenses UNION SELECT date_sk FROM fact_income)",
-            "dim_payment_method": "(SELECT payment_method AS k FROM silver)",
+            "dim_date": "(SELECT date_sk AS k FROM calendar)",
+            "dim_payment_method": f"(SELECT m AS k FROM {_METHODS})",
         }[dim]
         return check(f"{fact}.{key} in {dim}", f"count(*) FILTER (WHERE {key} NOT IN (SELECT k FROM {known}))", fact)
 
@@ -373,10 +425,10 @@ def _gate() -> str:
 
     expense_keys = ["date_sk", "counterparty_sk", "category_sk", "payment_method_sk"]
     checks = [
-        check("dim_category.category_sk unique", f"count({SK}) - count(DISTINCT {SK})", "(SELECT DISTINCT category, subcategory FROM labels)"),
+        check("dim_category.category_sk unique", f"count({SK}) - count(DISTINCT {SK})", _CATEGORY_ROWS),
         check("dim_counterparty.counterparty_sk unique", "count(*) - count(DISTINCT counterparty_sk)", "parties"),
         check("dim_date.date_sk unique", "count(*) - count(DISTINCT date_sk)", "calendar"),
-        check("dim_payment_method.payment_method_sk unique", "0 * count(*)", "silver"),
+        check("dim_payment_method.payment_method_sk unique", "count(*) - count(DISTINCT m)", _METHODS),
         anti("fact_expenses", "category_sk", "dim_category"),
         anti("fact_expenses", "counterparty_sk", "dim_counterparty"),
         anti("fact_expenses", "date_sk", "dim_date"),
@@ -390,7 +442,7 @@ def _gate() -> str:
         check("fact_income dates in dim_date", "count(*) FILTER (WHERE date_sk NOT IN (SELECT date_sk FROM calendar))", "fact_income"),
         reconciliation(),
     ]
-    return f"{STAR}, {CALENDAR}, labels AS ({LABELS}) " + " UNION ALL ".join(checks)
+    return f"{STAR}, {CALENDAR} " + " UNION ALL ".join(checks)
 
 
 _LINE_KEY = "concat_ws('-', l_orderkey, l_linenumber)"
@@ -520,18 +572,18 @@ def oracle() -> dict[str, str]:
             SELECT o_orderkey, {name_sk('name')} AS counterparty_sk FROM n""",
         "fact_expenses": f"{STAR} SELECT * EXCLUDE (amount), CAST(amount AS DOUBLE) AS amount FROM fact_expenses",
         "fact_income": f"{STAR} SELECT * EXCLUDE (amount), CAST(amount AS DOUBLE) AS amount FROM fact_income",
-        "star_sizes": f"""{STAR} SELECT 'fact_expenses' AS table_name, count(*) AS n FROM fact_expenses
-            UNION ALL SELECT 'fact_income', count(*) FROM fact_income
-            UNION ALL SELECT 'dim_category', {N_CATEGORIES}
-            UNION ALL SELECT 'dim_date', date_diff('day', make_date(CAST(min(year(transaction_date)) AS INT), 1, 1),
-              make_date(CAST(max(year(transaction_date)) AS INT), 12, 31)) + 1 FROM silver
-            UNION ALL SELECT 'dim_counterparty', count(*) FROM parties
-            UNION ALL SELECT 'dim_payment_method', 7""",
+        "star_sizes": _STAR_SIZES,
+        "published_star": _STAR_SIZES,
         "expense_report": f"""{STAR}, named AS (SELECT DISTINCT category, subcategory, {SK} AS sk FROM
               (SELECT category, subcategory FROM ({LABELS}) UNION SELECT 'Unclassified', 'Unclassified'))
             SELECT strftime(strptime(CAST(date_sk AS VARCHAR), '%Y%m%d'), '%d/%m/%Y') AS date, category, subcategory,
               '' AS blank, CAST(amount AS DOUBLE) AS amount, counterparty_details AS description
             FROM fact_expenses JOIN named ON sk = category_sk JOIN parties USING (counterparty_sk)""",
+        "monthly_totals": f"""{_MONTHS} SELECT year, month, category, CAST(GROUPING(year, month, category) AS INT) AS level,
+            count(*) AS n, CAST(sum(amount) AS DOUBLE) AS amount FROM months GROUP BY ROLLUP (year, month, category)""",
+        "category_calendar": f"{_MONTHS} SELECT year, category, " + ", ".join(
+            f"CAST(sum(CASE WHEN month = {m} THEN amount ELSE 0 END) AS DOUBLE) AS m{m}" for m in range(1, 13)
+        ) + " FROM months GROUP BY year, category",
         "order_report": """SELECT CAST(year(o_orderdate) AS INT) AS year, CAST(quarter(o_orderdate) AS INT) AS quarter,
             c_mktsegment AS segment, count(*) AS orders, count(DISTINCT c_name) AS parties,
             CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS amount
@@ -557,15 +609,18 @@ def oracle() -> dict[str, str]:
         ]),
         "check_reconciliation": f"{STAR} {reconciliation()} UNION ALL {reconciliation(chr(39).join(['payment_method_sk <> ', 'blik', '']))}",
         "quality_gate": _gate(),
+        "quality_gate_broken": _broken_gate(),
         "quality_invariants": f"{STAR} " + " UNION ALL ".join([
             check("fact_expenses.transaction_sk unique", "count(*) - count(DISTINCT transaction_sk)", "fact_expenses"),
-            check("income within excluded", "0 * count(*)", "fact_income",),
+            check("income within excluded", f"(coalesce(sum(abs(amount)), 0) > {_EXCLUDED} + 0.01)::INT", "fact_income"),
             check("dim_counterparty has one unknown", "abs(count(*) FILTER (WHERE counterparty_sk = 'unknown') - 1)", "parties"),
-            check("dim_category has one unclassified", "0 * count(*)", "fact_expenses"),
+            check("dim_category has one unclassified", f"abs(count(*) FILTER (WHERE {SK} = 'unclassified') - 1)", _CATEGORY_ROWS),
             check("unclassified below 10%", "(count(*) FILTER (WHERE category_sk = 'unclassified') >= 0.1 * count(*))::INT", "fact_expenses"),
         ]),
         "parquet_by_year": _BY_YEAR,
         "csv_by_year": _BY_YEAR,
         "single_file_tables": "SELECT p_type, count(*) AS n, CAST(1 AS INT) AS files FROM part GROUP BY 1",
         "appended_report": _BY_YEAR,
+        "loaded_by_year": _TYPED_BY_YEAR.replace("@rows", "FROM typed"),
+        "streamed_by_year": _TYPED_BY_YEAR.replace("@rows", "SELECT DISTINCT transaction_sk, transaction_date, transaction_amount FROM typed"),
     }

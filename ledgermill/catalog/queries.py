@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +22,14 @@ from ledgermill.operators.vocabulary import (
     unknown_subcategories,
 )
 from ledgermill.plans.gold import build_gold
-from ledgermill.plans.publish import report_of
+from ledgermill.plans.incremental import load_new, read_rows
+from ledgermill.plans.publish import publish_version, report_of
 from ledgermill.plans.silver import silver_rows, strict_casts, type_rows
 from ledgermill.scale import attach, shared_dir, stage, widen
 from ledgermill.sinks.tables import append_report, write_table
+from ledgermill.sinks.versions import read_version
 from ledgermill.sources import exports
+from ledgermill.streaming import transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -411,14 +415,14 @@ def fact_income(spark, sf_dir):
     return as_double(star(spark, sf_dir)[1]["fact_income"])
 
 
+def _sizes_of(tables: dict[str, DataFrame]) -> DataFrame:
+    sizes = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n")) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, sizes)
+
+
 @query
 def star_sizes(spark, sf_dir):
-    tables = star(spark, sf_dir)[1]
-    sizes = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n")) for name, df in tables.items()]
-    out = sizes[0]
-    for size in sizes[1:]:
-        out = out.unionByName(size)
-    return out
+    return _sizes_of(star(spark, sf_dir)[1])
 
 
 @query
@@ -426,6 +430,18 @@ def expense_report(spark, sf_dir):
     return report_of(star(spark, sf_dir)[1])
 
 
+@query
+def monthly_totals(spark, sf_dir):
+    tables = star(spark, sf_dir)[1]
+    return facts.monthly_totals(tables["fact_expenses"], tables["dim_date"], tables["dim_category"])
+
+
+@query
+def category_calendar(spark, sf_dir):
+    tables = star(spark, sf_dir)[1]
+    return facts.category_calendar(tables["fact_expenses"], tables["dim_date"], tables["dim_category"])
+
+
 @query
 def order_report(spark, sf_dir):
     """Flagship: customer orders keyed to a calendar and a party dimension, by year and segment."""
@@ -511,6 +527,36 @@ def quality_gate(spark, sf_dir):
     return verdicts(quality.gate_checks(tables, rows))
 
 
+# What is broken in the star of `quality_gate_broken`, as SQL of Spark and DuckDB alike.
+NULLED, NEGATED = "amount > 300000", "amount < 50000"
+LOST_PARTIES, LOST_METHOD = "counterparty_sk < 'm'", "blik"
+
+
+@query
+def quality_gate_broken(spark, sf_dir):
+    """The gate over a star with a fault for each of its checks."""
+    rows, tables = star(spark, sf_dir)
+    days = tables["dim_date"]
+
+    def twice(df):
+        return df.unionByName(df)
+
+    faulty = {
+        "fact_expenses": tables["fact_expenses"].withColumns(
+            {
+                "category_sk": F.when(~F.expr(NULLED), F.col("category_sk")),
+                "amount": F.when(F.expr(NEGATED), -F.col("amount")).otherwise(F.col("amount")),
+            }
+        ),
+        "fact_income": tables["fact_income"].withColumn("date_sk", F.when(~F.expr(NULLED), F.col("date_sk"))),
+        "dim_category": twice(tables["dim_category"].filter("category_sk != 'unclassified'")),
+        "dim_counterparty": twice(tables["dim_counterparty"].filter(f"NOT {LOST_PARTIES}")),
+        "dim_date": twice(days.filter(F.col("year") == days.agg(F.min("year").alias("y")).scalar())),
+        "dim_payment_method": twice(tables["dim_payment_method"].filter(F.col("payment_method_sk") != LOST_METHOD)),
+    }
+    return verdicts(quality.gate_checks(faulty, rows))
+
+
 @query
 def quality_invariants(spark, sf_dir):
     rows, tables = star(spark, sf_dir)
@@ -562,6 +608,43 @@ def single_file_tables(spark, sf_dir):
     )
 
 
+@query
+def published_star(spark, sf_dir):
+    """The tables that readers see after a version was published and a broken one refused."""
+    rows, tables = star(spark, sf_dir)
+    folder = _new_folder(spark)
+    publish_version(tables, rows, folder)
+    broken = {**tables, "dim_counterparty": tables["dim_counterparty"].filter("counterparty_sk != 'unknown'").limit(1)}
+    try:
+        publish_version(broken, rows, folder)
+    except quality.DataQualityError:
+        pass
+    found = read_version(spark, folder)
+    return _sizes_of(found)
+
+
+@query
+def loaded_by_year(spark, sf_dir):
+    """The nations' export files loaded in three runs: some, all, and nothing new."""
+    files, target = _new_folder(spark), _new_folder(spark)
+    ledger.write_files(spark, sf_dir, files)
+    for pattern in ("nation_1*.csv", "nation_*.csv", "nation_*.csv"):
+        load_new(spark, files, target, PATTERNS, pattern, strict=False)
+    return _by_year(read_rows(spark, target).withColumn("amount", F.col("transaction_amount")))
+
+
+@query
+def streamed_by_year(spark, sf_dir):
+    """The ledger's rows as three drops of files, the last of them with repeats, through the stream."""
+    raw = ledger.spark_ledger(spark, sf_dir)
+    arriving, out, checkpoint = (_new_folder(spark) for _ in range(3))
+    for chosen in ("_line_seq % 3 = 0", "_line_seq % 3 != 0", "_line_seq % 5 = 0"):
+        raw.filter(chosen).select(*exports.BUSINESS_COLUMNS).write.mode("append").parquet(arriving)
+        transactions.run_available(spark, arriving, out, checkpoint, PATTERNS, "10000 days", strict=False)
+    rows = transactions.read_stream_output(spark, out)
+    return _by_year(rows.select(F.year("transaction_date").alias("year"), F.col("transaction_amount").alias("amount")))
+
+
 @query
 def appended_report(spark, sf_dir):
     folder = _new_folder(spark)

@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.operators.facts import expense_report
-from ledgermill.operators.quality import enforce, gate_checks
+from ledgermill.operators.quality import DataQualityError, enforce, gate_checks
 from ledgermill.plans.gold import build_gold
 from ledgermill.plans.silver import build_silver
 from ledgermill.scale import discard, move, stage
-from ledgermill.sinks.tables import append_report, write_table
+from ledgermill.sinks.tables import SinkError, append_report, write_table
+from ledgermill.sinks.versions import commit_version, new_version, read_version, version_path
 from ledgermill.sources.exports import FALLBACK_CHARSET
 
 logger = logging.getLogger(__name__)
@@ -76,6 +77,27 @@ def publish(
     return {n: spark.read.schema(df.schema).parquet(f"{folder}/{n}").select(*df.columns) for n, df in tables.items()}
 
 
+def publish_version(
+    tables: Mapping[str, DataFrame], silver: DataFrame, folder: str, keep: int = 2
+) -> dict[str, DataFrame]:
+    """Write every table into a new version of `folder`, facts by year, and make it the current
+    one if it passes the gate. Readers (`read_version`) see all tables of one version at any
+    time, also if this stops halfway; then the unfinished version stays unseen."""
+    spark = silver.sparkSession
+    version = new_version()
+    path = version_path(folder, version)
+    try:
+        for name, df in tables.items():
+            _write(df, name, f"{path}/{name}", "parquet")
+        written = {n: spark.read.schema(df.schema).parquet(f"{path}/{n}").select(*df.columns) for n, df in tables.items()}
+        enforce(gate_checks(written, silver))
+    except DataQualityError:
+        discard(spark, path)
+        raise
+    commit_version(spark, folder, version, keep)
+    return read_version(spark, folder, version)
+
+
 def report_of(tables: Mapping[str, DataFrame]) -> DataFrame:
     return expense_report(
         tables["fact_expenses"],
@@ -117,12 +139,18 @@ def run(
     drop_duplicates: bool = False,
     pattern: str = "*.csv",
     fallback: str = FALLBACK_CHARSET,
+    keep_versions: int | None = None,
 ) -> Publication:
     """Folder of exports to published star schema, or to an appended report when
-    `report` names its folder. Files that were left out are logged and returned."""
+    `report` names its folder. With `keep_versions` the tables are a new version of `out`.
+    Files that were left out are logged and returned."""
     silver = build_silver(spark, folder, patterns, lookback_days, drop_duplicates, pattern, fallback)
     log_files(silver.files, silver.totals)
     tables = build_gold(silver.rows, categories, training, aliases)
+    if report is None and keep_versions is not None:
+        if fmt != "parquet":
+            raise SinkError("versions are kept as parquet")
+        return Publication(publish_version(tables, silver.rows, out, keep_versions), silver.files, silver.totals)
     if report is None:
         return Publication(publish(tables, silver.rows, out, fmt), silver.files, silver.totals)
     staged = checked_tables(tables, silver.rows)

@@ -11,6 +11,7 @@ for every later step.
 from __future__ import annotations
 
 import codecs
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
@@ -77,7 +78,18 @@ class Export:
 
 def scan_lines(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """Every line of the matching files, as `stage_lines` writes them."""
-    scanned = spark.read.option("pathGlobFilter", pattern).text(folder)
+    staged = _staged_scan(spark.read.option("pathGlobFilter", pattern).text(folder))
+    if staged.isEmpty():
+        raise IngestError(f"no lines in {pattern} under {folder}")
+    return staged
+
+
+def lines_of(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Every line of the named files, as `stage_lines` writes them."""
+    return _staged_scan(spark.read.text(list(paths)))
+
+
+def _staged_scan(scanned: DataFrame) -> DataFrame:
     lines = scanned.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("source_file"),
@@ -85,10 +97,7 @@ def scan_lines(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Data
         F.monotonically_increasing_id().alias("seq"),
         F.col("value").cast("binary").alias("raw"),
     )
-    staged = stage_lines(lines)
-    if staged.isEmpty():
-        raise IngestError(f"no lines in {pattern} under {folder}")
-    return staged
+    return stage_lines(lines)
 
 
 def stage_lines(lines: DataFrame) -> DataFrame:
@@ -120,7 +129,15 @@ def file_hashes(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Dat
     very end does not. The definition is the same for every size and every split
     setting, and no file has to pass through one task.
     """
-    scanned = spark.read.option("pathGlobFilter", pattern).option("lineSep", "\n").text(folder)
+    return _hashes(spark.read.option("pathGlobFilter", pattern).option("lineSep", "\n").text(folder))
+
+
+def hashes_of(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """`file_hashes` of the named files."""
+    return _hashes(spark.read.option("lineSep", "\n").text(list(paths)))
+
+
+def _hashes(scanned: DataFrame) -> DataFrame:
     lines = stage(
         scanned.select(
             F.col("_metadata.file_path").alias("path"),
