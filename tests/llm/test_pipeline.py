@@ -28,9 +28,9 @@ def test_stages_keep_columns_and_match_brute_force(spark):
     for r in sorted(seen["jaccard_join"]):
         body, keep, gone = r.text.encode(), [], 0
         covered = bytearray(len(body))
-        for s in range(len(body) - 399):
-            if first.setdefault(body[s : s + 400], (r.doc_id, s)) != (r.doc_id, s):
-                covered[s : s + 400] = b"\1" * 400
+        for s in range(len(body) - corpus_pipeline.REPEAT_BYTES + 1):
+            if first.setdefault(body[s : s + corpus_pipeline.REPEAT_BYTES], (r.doc_id, s)) != (r.doc_id, s):
+                covered[s : s + corpus_pipeline.REPEAT_BYTES] = b"\1" * corpus_pipeline.REPEAT_BYTES
         keep = bytes(b for b, c in zip(body, covered) if not c).decode("utf-8", "ignore")
         got = [x.text for x in seen["suffix_dedup"] if x.doc_id == r.doc_id]
         assert got == ([keep] if keep else [])
