@@ -18,7 +18,8 @@ from ledgermill.scale import stage
 MIX_POWER = 0.7
 # Passages that documents share are meant from about 50 words on. In these languages 50 words take 309 bytes,
 # 99 % of all runs of 50 words at least 248.
-REPEAT_BYTES = 200
+REPEAT_BYTES = 240
+REPEAT_GRAM = 36  # bytes by whose hash stretches of text are anchored; fewer bytes, longer stretches
 VOCABULARY = "byte_bpe_50k.json"
 
 
@@ -31,7 +32,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(docs, size="n_chars", keep_first=True, length=REPEAT_BYTES)
+    return repeats.remove_repeats(docs, size="n_chars", keep_first=True, length=REPEAT_BYTES, gram=REPEAT_GRAM)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
