@@ -21,9 +21,11 @@ sets of documents that passed are then built again from their texts and compared
 exactly. Only counts and the links of a spanning forest leave a tile, never all pairs.
 
 Null and empty texts, and texts of white space alone, have no set: each is a
-class of its own without links. A null key is allowed once per table at most.
-Repeated rows of one key are one document, and every row of it is returned;
-extra columns are ignored. An empty table gives an empty result.
+class of its own without links. A null key is a key like others, the greatest: it
+is a class id only where a class has no other. Repeated rows of one key and text are
+one document, and every row of it is returned; rows of one key with different
+texts are joined as different documents, which count once as copies of each other.
+Extra columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.arrays import as_bytes, grouped, mixed, ragged, slices, small_batches, word_hashes
@@ -121,7 +123,7 @@ def _minhash(tokens: np.ndarray) -> np.ndarray:
     return out.astype(np.uint32).view(np.int32)
 
 
-def _sketch(key: str, text: str, n: int):
+def _sketch(kept: list[str], text: str, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
@@ -133,13 +135,13 @@ def _sketch(key: str, text: str, n: int):
                 ends = np.arange(len(sets) + 1) * HASHES
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(key),
+                        *[part.column(name) for name in kept],
                         pa.array(np.array([len(w) // 8 for w in words], np.int64)),
                         pa.array(np.array(marks, np.uint64).view(np.int64)),
                         pa.array(np.array(marks2, np.uint64).view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sketch)),
                     ],
-                    ["doc_id", "size", "mark", "mark2", "sketch"],
+                    [*kept, "size", "mark", "mark2", "sketch"],
                 )
 
     return run
@@ -156,17 +158,17 @@ def _root_children(runs: int, threshold: float) -> list[tuple[int, int]]:
 
 
 def _leaves(reps: DataFrame, runs: int, threshold: float, scratch: Scratch) -> DataFrame:
-    """leaf, doc_id, n (documents in the leaf): buckets of two documents and more that are brute-forced."""
+    """leaf, node, n (documents in the leaf): buckets of two documents and more that are brute-forced."""
     children = F.array(
         *[F.xxhash64(F.lit(run), F.lit(at), F.col("sketch")[at]) for run, at in _root_children(runs, threshold)]
     )
-    level = reps.select("doc_id", F.explode(children).alias("path"))
+    level = reps.select("node", F.explode(children).alias("path"))
     found: list[DataFrame] = []
     for depth in range(1, MAX_DEPTH + 1):
         counts = level.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         sized = scratch.stage(level.join(counts, "path"), "paths")
         small = F.lit(True) if depth == MAX_DEPTH else F.col("n") <= SMALL_BUCKET
-        found.append(sized.filter(small).select(F.col("path").alias("leaf"), "doc_id", "n"))
+        found.append(sized.filter(small).select(F.col("path").alias("leaf"), "node", "n"))
         rest = sized.filter(~small)
         if not rest.limit(1).count():
             break
@@ -174,8 +176,8 @@ def _leaves(reps: DataFrame, runs: int, threshold: float, scratch: Scratch) -> D
         step = 1 + F.pmod(F.xxhash64("path", F.lit(2)), F.lit(HASHES - 1)).cast("int")
         second = F.pmod(first + step, F.lit(HASHES)).cast("int")
         sampled = scratch.stage(
-            rest.join(reps.select("doc_id", "sketch"), "doc_id").select(
-                "doc_id", "path", "n", F.get("sketch", first).alias("one"), F.get("sketch", second).alias("two")
+            rest.join(reps.select("node", "sketch"), "node").select(
+                "node", "path", "n", F.get("sketch", first).alias("one"), F.get("sketch", second).alias("two")
             ),
             "sampled",
         )
@@ -183,11 +185,11 @@ def _leaves(reps: DataFrame, runs: int, threshold: float, scratch: Scratch) -> D
             (F.approx_count_distinct("one") + F.approx_count_distinct("two")).alias("kinds"), F.max("n").alias("n")
         )
         dense = scratch.stage(kinds.filter(F.col("kinds") <= 2 * DENSE * F.col("n")).select("path"), "dense")
-        found.append(sampled.join(dense, "path", "left_semi").select(F.col("path").alias("leaf"), "doc_id", "n"))
+        found.append(sampled.join(dense, "path", "left_semi").select(F.col("path").alias("leaf"), "node", "n"))
         extra = F.pmod(F.xxhash64("path", F.lit(3)), F.lit(1 << 20)) < int((1 / threshold - 1) * (1 << 20))
         one, two = F.xxhash64("path", F.lit(1), "one"), F.xxhash64("path", F.lit(2), "two")
         level = sampled.join(dense, "path", "left_anti").select(
-            "doc_id", F.explode(F.when(extra, F.array(one, two)).otherwise(F.array(one))).alias("path")
+            "node", F.explode(F.when(extra, F.array(one, two)).otherwise(F.array(one))).alias("path")
         )
     out = found[0]
     for more in found[1:]:
@@ -198,13 +200,13 @@ def _leaves(reps: DataFrame, runs: int, threshold: float, scratch: Scratch) -> D
 def _tiles(leaves: DataFrame) -> DataFrame:
     """`leaves` with a tile and the block within it: a leaf of many documents becomes pairs of blocks."""
     blocks = F.ceil(F.col("n") / TILE).cast("int")
-    own = F.pmod(F.xxhash64("doc_id", "leaf"), blocks).cast("int")
+    own = F.pmod(F.xxhash64("node", "leaf"), blocks).cast("int")
     return (
         leaves.withColumns({"_own": own, "_blocks": blocks})
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
         .withColumn("tile", F.xxhash64("leaf", F.least("_own", "_other"), F.greatest("_own", "_other")))
         .withColumn("block", F.when(F.col("_own") == F.col("_other"), 0).when(F.col("_own") < F.col("_other"), 1).otherwise(2))
-        .select("tile", "leaf", "block", "doc_id")
+        .select("tile", "leaf", "block", "node")
     )
 
 
@@ -269,7 +271,7 @@ def _screened(screen: int):
         if not len(a):
             return None
         rows = pa.array(np.unique(np.concatenate([a, b])))
-        return table.select(["tile", "leaf", "block", "doc_id", "leaves", "sketch"]).take(rows).combine_chunks().to_batches()[0]
+        return table.select(["tile", "leaf", "block", "node", "leaves", "sketch"]).take(rows).combine_chunks().to_batches()[0]
 
     return lambda batches: grouped(batches, "tile", work)
 
@@ -280,7 +282,7 @@ def _verified(screen: int, threshold: float, n: int, pairs: bool):
         if not len(a):
             return None
         tiles = table.column("tile").to_numpy()
-        ids = table.column("doc_id").to_numpy()
+        ids = table.column("node").to_numpy()
         copies = table.column("copies").to_numpy()
         texts = pa.RecordBatch.from_arrays([table.column("text").combine_chunks()], ["text"])
         sets = [found for part in slices(texts, "text") for found in shingles(part.column("text"), n)]
@@ -349,6 +351,24 @@ def _roots(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return order[label]
 
 
+# What tells documents from each other: is the key null, the key, two hashes of the text. Least means least in
+# this order, so a null key comes last.
+DOCUMENT = ["unkeyed", "key", "text_id", "text_id2"]
+
+
+def _document(key: Column, text: Column) -> dict[str, Column]:
+    return {
+        "unkeyed": key.isNull(),
+        "key": F.coalesce(key.cast("bigint"), F.lit(0)),
+        "text_id": F.xxhash64(text),
+        "text_id2": F.xxhash64(F.lit(1), text),
+    }
+
+
+def _key_of(document: str) -> Column:
+    return F.when(~F.col(f"{document}.unkeyed"), F.col(f"{document}.key"))
+
+
 class JaccardJoin:
     """The join of one table of documents with itself; results share what was computed once."""
 
@@ -356,42 +376,44 @@ class JaccardJoin:
         self, docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORDS,
         threshold: float = THRESHOLD, recall: float = RECALL,
     ):
-        self.docs = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+        named = [column.alias(name) for name, column in _document(docs[key], docs[text]).items()]
+        self.docs = docs.select(*named, docs[text].alias("text"))
         self.n, self.threshold = n, threshold
         small_batches(docs.sparkSession)
         sketched = self.docs.mapInArrow(
-            _sketch("doc_id", "text", n), "doc_id bigint, size bigint, mark bigint, mark2 bigint, sketch array<int>"
+            _sketch(DOCUMENT, "text", n),
+            "unkeyed boolean, key bigint, text_id bigint, text_id2 bigint, "
+            "size bigint, mark bigint, mark2 bigint, sketch array<int>",
         )
         self.rows = stage(sketched, "sketches")
         full = self.rows.filter("size > 0")
-        self.classes = stage(
-            full.groupBy("mark", "mark2", "size").agg(
-                F.min("doc_id").alias("doc_id"),
-                F.count_distinct("doc_id").alias("copies"),
-                F.min("sketch").alias("sketch"),
-            ),
-            "copy-classes",
+        per_class = full.groupBy("mark", "mark2", "size").agg(
+            F.min(F.struct(*DOCUMENT)).alias("first"),
+            F.count_distinct("unkeyed", "key").alias("copies"),
+            F.min("sketch").alias("sketch"),
         )
+        self.classes = stage(per_class.withColumn("node", F.monotonically_increasing_id()), "copy-classes")
         runs = runs_for(threshold, recall)
         self.screen = screen_for(threshold)
-        schema = "tile bigint, leaf bigint, block int, doc_id bigint, leaves array<bigint>, sketch array<int>"
+        schema = "tile bigint, leaf bigint, block int, node bigint, leaves array<bigint>, sketch array<int>"
         with Scratch(docs.sparkSession) as scratch:
             leaves = scratch.stage(_leaves(self.classes, runs, threshold, scratch), "leaves")
-            lists = leaves.groupBy("doc_id").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
-            carried = lists.join(self.classes.select("doc_id", "sketch"), "doc_id")
-            tiles = _tiles(leaves).join(carried, "doc_id").select("tile", "leaf", "block", "doc_id", "leaves", "sketch")
+            lists = leaves.groupBy("node").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
+            carried = lists.join(self.classes.select("node", "sketch"), "node")
+            tiles = _tiles(leaves).join(carried, "node").select("tile", "leaf", "block", "node", "leaves", "sketch")
             self.near = stage(
                 tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_screened(self.screen), schema), "near"
             )
 
     def _verify(self, schema: str, pairs: bool) -> DataFrame:
-        wanted = self.near.select("doc_id").distinct()
+        near = self.near.select("node").distinct()
+        wanted = self.classes.join(near, "node", "left_semi").select("node", "copies", "first.*")
         texts = (
-            self.docs.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-            .join(self.classes.select("doc_id", "copies"), "doc_id")
+            self.docs.join(wanted, DOCUMENT, "left_semi").groupBy(*DOCUMENT).agg(F.min("text").alias("text"))
+            .join(wanted, DOCUMENT).select("node", "copies", "text")
         )
-        rows = self.near.join(texts, "doc_id").select(
-            "tile", "leaf", "block", "doc_id", "leaves", "sketch", "copies", "text"
+        rows = self.near.join(texts, "node").select(
+            "tile", "leaf", "block", "node", "leaves", "sketch", "copies", "text"
         )
         return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(
             _verified(self.screen, self.threshold, self.n, pairs), schema
@@ -399,14 +421,39 @@ class JaccardJoin:
 
     def pairs(self) -> DataFrame:
         """a, b: all pairs of class representatives (least key of a copy class) that are near."""
-        return self._verify("a bigint, b bigint", True)
+        found = self._verify("a bigint, b bigint", True)
+        for side in ("a", "b"):
+            named = self.classes.select(F.col("node").alias(side), F.col("first").alias(f"first_{side}"))
+            found = found.join(named, side)
+        ends = found.select(
+            F.least("first_a", "first_b").alias("low"), F.greatest("first_a", "first_b").alias("high")
+        )
+        return ends.select(_key_of("low").alias("a"), _key_of("high").alias("b"))
 
     def membership(self) -> DataFrame:
         """doc_id, copy_class: the least key with the same set of runs; the key itself where the set is empty."""
-        named = self.classes.select("mark", "mark2", "size", F.col("doc_id").alias("copy_class"))
-        return self.rows.select("doc_id", "mark", "mark2", "size").join(
-            named, ["mark", "mark2", "size"], "left"
-        ).select("doc_id", F.coalesce("copy_class", "doc_id").alias("copy_class"))
+        named = self.classes.select("mark", "mark2", "size", "first")
+        rows = self.rows.select(F.struct(*DOCUMENT).alias("own"), "mark", "mark2", "size")
+        rows = rows.join(named, ["mark", "mark2", "size"], "left").withColumn("first", F.coalesce("first", "own"))
+        return rows.select(_key_of("own").alias("doc_id"), _key_of("first").alias("copy_class"))
+
+    def ranked(self) -> DataFrame:
+        """own, first, top, n_links for every row: its document, the least one of its copy class and the least
+        one of all that links connect with it. The first two are the row's own where it has no set."""
+        found = stage(self._verify("a bigint, b bigint, links bigint", False), "links")
+        linked = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+        linked = components(found.select("a", "b")).join(linked, "node", "left")
+        linked = stage(linked.join(self.classes.select("node", "first"), "node"), "linked")
+        tops = linked.groupBy("component").agg(F.min("first").alias("top"))
+        linked = linked.join(tops, "component").select("node", "links", "top")
+        facts = self.classes.select("mark", "mark2", "size", "node", "first", "copies").join(linked, "node", "left")
+        rows = self.rows.select(F.struct(*DOCUMENT).alias("own"), "mark", "mark2", "size")
+        return rows.join(facts, ["mark", "mark2", "size"], "left").select(
+            "own",
+            F.coalesce("first", "own").alias("first"),
+            F.coalesce("top", "first", "own").alias("top"),
+            (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"),
+        )
 
     def result(self) -> DataFrame:
         """doc_id, class_id, copy_class, n_links for every row.
@@ -414,20 +461,8 @@ class JaccardJoin:
         class_id is the least key among all documents connected by links, and
         n_links the number of other documents that are near, copies included.
         """
-        found = stage(self._verify("a bigint, b bigint, links bigint", False), "links")
-        per_class = found.groupBy(F.col("a").alias("copy_class")).agg(F.sum("links").alias("links"))
-        per_class = per_class.join(
-            components(found.select("a", "b")).withColumnRenamed("node", "copy_class"), "copy_class", "left"
-        )
-        facts = self.classes.select("mark", "mark2", "size", F.col("doc_id").alias("copy_class"), "copies").join(
-            per_class, "copy_class", "left"
-        )
-        rows = self.rows.select("doc_id", "mark", "mark2", "size").join(facts, ["mark", "mark2", "size"], "left")
-        return rows.select(
-            "doc_id",
-            F.coalesce("component", "copy_class", "doc_id").alias("class_id"),
-            F.coalesce("copy_class", "doc_id").alias("copy_class"),
-            (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"),
+        return self.ranked().select(
+            _key_of("own").alias("doc_id"), _key_of("top").alias("class_id"), _key_of("first").alias("copy_class"), "n_links"
         )
 
 
@@ -437,7 +472,11 @@ def jaccard_join(docs: DataFrame, **options) -> DataFrame:
 
 
 def first_of_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of `docs` whose key is the least of its class, so that one document of each group stays."""
-    found = jaccard_join(docs, key=key, text=text, **options)
-    gone = found.filter("class_id != doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[key] == gone["_gone"], "left_anti")
+    """The rows of `docs` whose document is the least of its class, so that one document of each group stays.
+
+    All rows that repeat this document, with equal key and text, stay with it.
+    """
+    ranked = JaccardJoin(docs, key=key, text=text, **options).ranked()
+    gone = ranked.filter("own != top").select("own.*").distinct()
+    own = _document(docs[key], docs[text])
+    return docs.join(gone, [own[name] == gone[name] for name in DOCUMENT], "left_anti")

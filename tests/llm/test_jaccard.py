@@ -88,6 +88,31 @@ def test_repeated_rows_and_empty_table(spark):
     assert jaccard.jaccard_join(empty(spark)).collect() == []
 
 
+def test_null_keys_are_documents_like_others(spark):
+    base = sentence(4, 60)
+    near, other, third = edited(base, 1, 1), sentence(5, 60), sentence(6, 60)
+    rows = [row(1, base), row(None, near), row(2, other), row(None, other), row(None, other), row(3, sentence(7, 60))]
+    rows += [row(None, third), row(None, edited(third, 2, 1)), row(None, None)]
+    join = jaccard.JaccardJoin(frame(spark, rows))
+    none = (None, None, None, 0)
+    linked = (None, None, None, 1)
+    want = [(1, 1, 1, 1), (None, 1, None, 1), (2, 2, 2, 1), (None, 2, 2, 1), (None, 2, 2, 1), (3, 3, 3, 0), linked, linked, none]
+    got = [(r.doc_id, r.class_id, r.copy_class, r.n_links) for r in join.result().collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert sorted(((r.a, r.b) for r in join.pairs().collect()), key=str) == [(1, None), (None, None)]
+    kept = jaccard.first_of_classes(frame(spark, rows)).collect()
+    assert sorted((str(r.doc_id) for r in kept)) == ["1", "2", "3", "None", "None"]  # one of the pair, and the empty text
+
+
+def test_one_key_with_different_texts(spark):
+    base, other = sentence(4, 60), sentence(5, 60)
+    rows = [row(1, base), row(1, other), row(2, edited(base, 1, 1)), row(3, other)]
+    got = jaccard.jaccard_join(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in got) == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
+    kept = jaccard.first_of_classes(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(1, base), (1, other)])
+
+
 def test_runs_reach_the_recall():
     runs = jaccard.runs_for(0.8, 0.999)
     assert 1 - (1 - jaccard.survival(0.8, jaccard.MAX_DEPTH)) ** runs >= 0.999
