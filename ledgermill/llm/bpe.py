@@ -5,7 +5,9 @@ hold the merge rank of every adjacent pair with its place, so that the root is
 the leftmost pair of the lowest rank. A merge changes three leaves at most, each
 updated along one path to the root, until the root holds no mergeable pair:
 n log n for a word of n bytes, also for one of millions of bytes. The trees of
-all new words of a batch are updated together, one numpy operation per step.
+all new words of a batch are updated together, one numpy operation per step;
+a word of more than `LONG_WORD` bytes has a tree of its own in plain lists,
+where a single update is far cheaper.
 
 A text is cut into special tokens, pieces (see `pieces`) and words by the
 pattern of the vocabulary; equal words are encoded once per worker, up to
@@ -37,6 +39,7 @@ CACHE_WORDS = 200_000
 WORD_CHARS = 64  # longer words are encoded each time
 RUN_BYTES = 1 << 20
 TREE_CELLS = 1 << 16
+LONG_WORD = 1 << 10
 
 _NONE = np.int64(np.iinfo(np.int64).max)
 
@@ -68,6 +71,7 @@ class ByteBpe:
         pairs = left * self.size + right
         order = np.argsort(pairs, kind="stable")
         self.pairs, self.ranks, self.into = pairs[order], order.astype(np.int64), into
+        self.rank_of = dict(zip(self.pairs.tolist(), self.ranks.tolist()))
         byte_of = {letter: b for b, letter in letters.items()}
         spelled = [b""] * self.size
         for token, i in vocab.items():
@@ -95,6 +99,9 @@ class ByteBpe:
         out = [b""] * len(words)
         by_width: dict[int, list[int]] = {}
         for i, word in enumerate(words):
+            if len(word) > LONG_WORD:
+                out[i] = self._merge_tree(word)
+                continue
             by_width.setdefault(max(2, 1 << (len(word) - 1).bit_length()), []).append(i)
         for width, members in by_width.items():
             step = max(1, TREE_CELLS // width)
@@ -150,6 +157,53 @@ class ByteBpe:
         ends = np.cumsum(4 * left.sum(axis=1)).tolist()
         return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
+    def _merge_tree(self, word: bytes) -> bytes:
+        """Ids of one long word, by the same tree in a plain list."""
+        n = len(word)
+        width = 1 << (n - 1).bit_length()
+        shift, mask, none = width.bit_length(), (1 << width.bit_length()) - 1, int(_NONE)
+        start = self.first_ids[np.frombuffer(word, np.uint8)]
+        ranks = self.rank(start[:-1], start[1:])
+        level = np.full(width, _NONE, np.int64)
+        level[: n - 1] = np.where(ranks == _NONE, _NONE, (ranks << np.int64(shift)) | np.arange(n - 1))
+        levels = [level]
+        while len(levels[-1]) > 1:
+            levels.append(np.minimum(levels[-1][::2], levels[-1][1::2]))
+        tree = [none, *np.concatenate(levels[::-1]).tolist()]  # node k has children 2k and 2k + 1
+        ids, after, before = start.tolist(), [*range(1, n), -1], [*range(-1, n - 1)]
+        into, rank_of, size = self.into.tolist(), self.rank_of, self.size
+
+        def put(place: int, value: int) -> None:
+            node = width + place
+            tree[node] = value
+            while node > 1:
+                other = tree[node ^ 1]
+                node >>= 1
+                least = value if value < other else other
+                if tree[node] == least:
+                    return
+                tree[node] = value = least
+
+        def pair(a: int, b: int) -> int:
+            rank = rank_of.get(ids[a] * size + ids[b])
+            return none if rank is None else (rank << shift) | a
+
+        while tree[1] != none:
+            at = tree[1] & mask
+            gone = after[at]
+            ids[at] = into[tree[1] >> shift]
+            ids[gone] = -1
+            later = after[at] = after[gone]
+            put(gone, none)
+            if later >= 0:
+                before[later] = at
+                put(at, pair(at, later))
+            else:
+                put(at, none)
+            if before[at] >= 0:
+                put(before[at], pair(before[at], at))
+        return np.array([i for i in ids if i >= 0], np.uint32).tobytes()
+
     @staticmethod
     def _set(tree: np.ndarray, rows: np.ndarray, places: np.ndarray, values: np.ndarray) -> None:
         """Point update: the leaf, then every node above it."""

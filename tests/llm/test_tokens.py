@@ -1,6 +1,8 @@
 import hashlib
 import random
+import time
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -100,3 +102,20 @@ def test_empty_tables_and_repeated_rows(spark):
     twice = frame(spark, [row(1, "a b"), row(1, "a b")])
     assert [r.n_tokens for r in token_counts.count_tokens(twice, PATH).collect()] == [2, 2]
     assert bpe.encoding_digests(twice, PATH).count() == 2
+
+
+def test_long_words_have_the_ids_of_the_library_and_take_seconds():
+    with open(PATH, "rb") as file:
+        model = bpe.ByteBpe(file.read())
+    library = Tokenizer.from_file(PATH)
+    rng = random.Random(9)
+    letters = "".join(rng.choice("etaoinshrdlu") for _ in range(1 << 20))
+    for word in (letters[: bpe.LONG_WORD], letters[: bpe.LONG_WORD + 1], letters[:5000], "a" * 5000, "é" * 3001):
+        want = library.encode(word, add_special_tokens=False).ids
+        assert model.merge([word.encode()]) == [b"".join(i.to_bytes(4, "little") for i in want)]
+    begun = time.monotonic()
+    (got,) = model.merge([letters.encode()])
+    assert time.monotonic() - begun < 60
+    assert model.decode(np.frombuffer(got, np.uint32)) == letters
+    want = library.encode(letters, add_special_tokens=False).ids
+    assert np.frombuffer(got, np.uint32).tolist() == want
