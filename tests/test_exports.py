@@ -1,8 +1,10 @@
 import hashlib
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from ledgermill.catalog import queries
 from ledgermill.sources import exports
 from tests.samples import FEBRUARY, FOOTER, HEADER, JANUARY, export, row
 
@@ -186,3 +188,26 @@ def test_byte_order_mark_before_the_header(spark, tmp_path):
     write(tmp_path, "a.csv", "﻿" + text)
     read = exports.read_exports(spark, str(tmp_path))
     assert read.rows.first().transaction_date == "2025-01-02"
+
+
+def test_split_size_grows_with_the_files(spark, tmp_path, monkeypatch):
+    seen = []
+
+    def written(spark, sf_dir, folder):
+        Path(folder).mkdir(parents=True)
+        for name in ("nation_1.csv", "nation_2.csv"):
+            (Path(folder) / name).write_text(export(JANUARY * 400))
+
+    def read(spark, folder, pattern):
+        size = sum(f.stat().st_size for f in Path(folder).glob(pattern))
+        seen.append((size, int(spark.conf.get("spark.sql.files.maxPartitionBytes"))))
+
+    monkeypatch.setattr(queries.ledger, "write_files", written)
+    monkeypatch.setattr(exports, "read_exports", read)
+    monkeypatch.setattr(queries, "LEAST_SPLIT_BYTES", 100)
+    monkeypatch.setattr(queries, "shared_dir", lambda spark: str(tmp_path))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    queries.read_files(spark, "unused")
+    ((size, split),) = seen
+    assert size / queries.MOST_SPLITS - 1 < split < size / 2
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
