@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgermill.catalog import queries
+from ledgermill.plans.silver import type_rows
 from ledgermill.sources import exports
 from tests.samples import FEBRUARY, FOOTER, HEADER, JANUARY, export, row
 
@@ -190,6 +191,14 @@ def test_byte_order_mark_before_the_header(spark, tmp_path):
     assert read.rows.first().transaction_date == "2025-01-02"
 
 
+def test_lines_are_parsed_once_whatever_filters_follow(spark, tmp_path):
+    write(tmp_path, "a.csv", export(JANUARY))
+    typed = type_rows(exports.read_exports(spark, str(tmp_path)).rows)
+    plan = typed.groupBy("_source_file").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv") == 1
+    assert typed.count() == len(JANUARY)
+
+
 def test_split_size_grows_with_the_files(spark, tmp_path, monkeypatch):
     seen = []
 
