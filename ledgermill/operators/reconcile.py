@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.functions.parsing import is_real_date
+from ledgermill.functions.parsing import is_real_date, without_blanks
 
 
 def lookback(rows: DataFrame, date_column: str, days: int) -> DataFrame:
@@ -37,7 +37,7 @@ def lost_rows(raw: DataFrame, kept: DataFrame, keys: Sequence[str], date_column:
 
 def unread_day(date_column: str, typed: Column) -> Column:
     """The text of a row that names a real day although `typed`, its reading, is NULL; else NULL."""
-    return F.when(is_real_date(date_column) & typed.isNull(), F.col(date_column))
+    return F.when(typed.isNull() & is_real_date(date_column), F.col(date_column))
 
 
 def unparsed_dates(raw: DataFrame, date_column: str, typed: Column) -> DataFrame:
@@ -53,7 +53,7 @@ def rejected_names(casts: Mapping[str, Column]) -> Column:
 
 
 def _rejected(name: str, typed: Column) -> Column:
-    return (F.regexp_replace(name, r"[\s\xa0]", "") != "") & typed.isNull()
+    return typed.isNull() & (without_blanks(name) != "")
 
 
 def rejected_casts(raw: DataFrame, casts: Mapping[str, Column]) -> DataFrame:

@@ -119,3 +119,23 @@ def test_keys(spark):
     ]
     df = spark.createDataFrame(pairs, "c string, s string, k string")
     assert df.filter(keys.category_key(F.col("c"), F.col("s")) != F.col("k")).count() == 0
+
+
+def test_blanks_are_removed_without_patterns(spark):
+    odd = [" 1\xa0234,5\t", "'a b\x0b'", "\x85\u2003x", "\n\f\r", "", "a,b,c", None]
+    df = spark.createDataFrame([(t,) for t in odd], "t string")
+    plan = df.select(
+        parsing.clean_identifier("t").alias("a"), parsing.without_blanks("t").alias("b"), parsing.locale_double("t").alias("c")
+    )
+    assert "regexp_replace" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    old = df.select(F.regexp_replace("t", r"['\s]", ""), F.regexp_replace("t", r"[\s\xa0]", ""))
+    assert [(r.a, r.b) for r in plan.collect()] == [tuple(r) for r in old.collect()]
+    assert [r.c for r in plan.collect()] == [1234.5] + [None] * 6
+
+
+def test_plain_runs_are_not_taken_apart(spark):
+    df = spark.createDataFrame([("plain words, then żółć \u2019 and \ufb01n " * 3,)], "t string")
+    plan = df.select(text.strip_diacritics(F.col("t")).alias("o"))
+    shown = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" in shown and "split(" not in shown
+    assert plan.first().o == "plain words, then zolc \u2019 and fin " * 3
