@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgermill.operators import dimensions, quality, reconcile
 from ledgermill.operators.vocabulary import taxonomy_frame
 from ledgermill.plans import gold, publish, silver
+from ledgermill.scale import stage
 from ledgermill.sinks.tables import SinkError, append_report, write_table
 from tests.samples import CATEGORIES, FEBRUARY, JANUARY, PATTERNS, TRAINING, export, row
 
@@ -288,3 +289,19 @@ def test_run_from_folder_to_tables(spark, folder, tmp_path):
         spark, str(folder), str(tmp_path / "none"), PATTERNS, CATEGORIES, TRAINING, report=str(tmp_path / "rep")
     )
     assert spark.read.parquet(str(tmp_path / "rep")).count() == 7 and not (tmp_path / "none").exists()
+
+
+def test_only_the_columns_that_gold_reads_are_written(built, monkeypatch):
+    written = {}
+
+    def staged(df, name):
+        written[name] = df.columns
+        return stage(df, name)
+
+    monkeypatch.setattr(gold, "stage", staged)
+    narrow = gold.build_gold(built.rows.select(*gold.GOLD_INPUT), CATEGORIES, TRAINING)
+    assert written["enriched"] == gold.ENRICHED
+    wide = gold.build_gold(built.rows, CATEGORIES, TRAINING)
+    for name, df in wide.items():
+        assert narrow[name].columns == df.columns
+        assert sorted(map(str, narrow[name].collect())) == sorted(map(str, df.collect()))
