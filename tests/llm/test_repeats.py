@@ -85,3 +85,10 @@ def test_repeated_rows_and_empty_table(spark):
     got = repeats.repeat_digests(frame(spark, [row(None, text), row(None, text)])).collect()
     assert [r.n_removed for r in got] == [len(text)] * 2
     assert repeats.repeat_digests(empty(spark)).collect() == []
+
+
+def test_kept_text_is_one_more_column(spark):
+    docs = frame(spark, [row(1, "short"), row(2, None)])
+    plain, more = repeats.repeat_digests(docs), repeats.repeat_digests(docs, with_text=True)
+    assert more.columns == [*plain.columns, "text"]
+    assert {r.doc_id: r.text for r in more.collect()} == {1: "short", 2: ""}
