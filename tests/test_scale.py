@@ -1,3 +1,7 @@
+import pytest
+from pyspark.sql import DataFrameWriter
+
+from ledgermill import scale
 from ledgermill.scale import attach, fits_broadcast, spread_join
 
 
@@ -33,3 +37,19 @@ def test_spread_join_is_the_inner_join(spark):
     spread = spread_join(rows, table, ["k"], ["id"])
     plain = rows.join(table, ["k"])
     assert spread.exceptAll(plain).isEmpty() and plain.exceptAll(spread).isEmpty()
+
+
+def test_staged_tables_are_written_under_the_method_limit(spark, monkeypatch):
+    seen, write = [], DataFrameWriter.parquet
+    before = spark.conf.get(scale.METHOD_LIMIT)
+
+    def recorded(self, *args, **kwargs):
+        seen.append(spark.conf.get(scale.METHOD_LIMIT))
+        return write(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", recorded)
+    assert scale.stage(spark.range(3), "few").count() == 3
+    assert seen == ["8000"] and spark.conf.get(scale.METHOD_LIMIT) == before
+    with pytest.raises(ZeroDivisionError), scale.compiled(spark):
+        raise ZeroDivisionError
+    assert spark.conf.get(scale.METHOD_LIMIT) == before
