@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import DataFrameWriter
 
 from ledgermill import scale
+from ledgermill.operators import naming
 from ledgermill.scale import attach, fits_broadcast, spread_join
 
 
@@ -53,3 +54,22 @@ def test_staged_tables_are_written_under_the_method_limit(spark, monkeypatch):
     with pytest.raises(ZeroDivisionError), scale.compiled(spark):
         raise ZeroDivisionError
     assert spark.conf.get(scale.METHOD_LIMIT) == before
+
+
+def test_counted_keys_save_a_pass_over_the_rows(spark, monkeypatch):
+    """Rows, with empty and missing texts, are not read again to find the texts that many of them hold."""
+    text = "case id % 4 when 0 then 'hot' when 1 then '' when 2 then null else concat('k', id) end as t"
+    rows = spark.range(20_000).selectExpr("id", text)
+    texts = scale.stage(naming.counted_texts(rows, ["t"]), "texts")
+    hits = texts.selectExpr("text_id", "length(text) as size")
+    plans, stage = [], scale.stage
+
+    def recorded(df, name):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return stage(df, name)
+
+    monkeypatch.setattr(scale, "stage", recorded)
+    got = naming.attach_hits(rows, "t", hits, "hit", ["id"], False, texts).selectExpr("id", "t", "hit.size as size")
+    assert [name for name, _ in plans] == ["hot-keys"] and "Range" not in plans[0][1]
+    plain = rows.selectExpr("id", "t", "case when t != '' then length(t) end as size")
+    assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
