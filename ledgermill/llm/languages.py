@@ -253,7 +253,7 @@ def identify_languages(
     natural = F.array(*map(F.lit, natural_logs))
     scored = (
         docs.select(text.alias(t), *[c.alias(n) for n, c in evidence.items()])
-        .withColumn(ll, score(F.col(t))).filter(F.col(ll).isNotNull())
+        .withColumn(ll, score(F.col(t)))
         .select(d, h, _posterior(F.zip_with(ll, natural, lambda a, b: a + b)).alias(post))
     )
     grouped = stage(

@@ -52,6 +52,21 @@ def test_awkward_rows(spark, docs):
     assert kept.columns == frame(spark, rows).columns and kept.filter("doc_id in (0, 1, 2, 8)").count() == 0
 
 
+def test_texts_are_scored_once_per_pass(spark, docs, monkeypatch):
+    plans, staged = {}, languages.stage
+
+    def recorded(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, name)
+
+    monkeypatch.setattr(languages, "stage", recorded)
+    rows = [row(r.doc_id, r.text, r.lang, r.source) for r in docs.collect()]
+    rows += [row(10_000, None, "en", "a host without a letter"), row(10_001, "12", "en", "another")]
+    got = {r.doc_id: r for r in languages.identify_languages(frame(spark, rows)).collect()}
+    assert plans["language-counts"].count("ArrowEvalPython") == 1
+    assert len(got) == len(rows) and all(got[k].rejected and got[k].language_ is None for k in (10_000, 10_001))
+
+
 def test_empty_and_undeclared_tables(spark):
     assert languages.identify_languages(empty(spark)).collect() == []
     undeclared = languages.identify_languages(frame(spark, [row(1, "some text", None)] * 9)).collect()

@@ -1,7 +1,9 @@
 import hashlib
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgermill.llm import repeats
@@ -68,6 +70,24 @@ def test_suffix_ranks_follow_suffix_order():
             assert (rank[a] < rank[b]) == (cut[a] < cut[b]) and (rank[a] == rank[b]) == (cut[a] == cut[b])
 
 
+def test_suffix_ranks_take_memory_in_proportion():
+    data = np.random.default_rng(3).integers(97, 123, 400_000, dtype=np.uint8)
+    data[300_000:] = data[:100_000]
+    tracemalloc.start()
+    rank = repeats.suffix_ranks(data, 240)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * len(data)
+    assert (rank[300_000:399_000] == rank[:99_000]).all() and len(set(rank[:300_000].tolist())) == 300_000
+
+
+@pytest.mark.parametrize("texts", [["x" * 3_000_000], ["y" * 1000] * 2000])
+def test_texts_are_anchored_in_small_runs(texts):
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    sizes = [len(data) for data, *_ in repeats._parts(batch, 240)]
+    assert max(sizes) < 300_000 and sum(sizes) >= sum(map(len, texts))
+
+
 def test_removal_keeps_first_copies_and_columns(spark):
     passage = sentence(9, 100)
     rows = [row(1, "a " + passage), row(2, passage), row(3, "b é" + passage + "é c"), row(4, None), row(5, "short")]
